@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 SPECTRA_PER_FILE = 250
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _pack(values, narrow, packed):
     import zlib
 

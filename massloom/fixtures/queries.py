@@ -37,11 +37,11 @@ def _rounded(shares: DataFrame) -> DataFrame:
 # Listing and files
 
 def dir_rollup(spark, sf):
-    return inventory.roll_up(inventory.prune_bundles(inventory.contributions(v.listing(spark, sf))))
+    return inventory.roll_up(inventory.contributions(v.listing(spark, sf)))
 
 
 def wiff_fused_sizes(spark, sf):
-    return inventory.fuse(inventory.prune_bundles(inventory.contributions(v.listing(spark, sf))))
+    return inventory.fuse(inventory.contributions(v.listing(spark, sf)))
 
 
 def files_inventory(spark, sf):

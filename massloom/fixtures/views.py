@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from massloom.contracts import CV_PARAM
+from massloom.functions.numbers import zero_padded
 from massloom.plans.repositories import build_files
 from massloom.session import durable
 
@@ -28,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _px(key: str) -> Column:
-    return F.format_string("PX%06d", F.col(key))
+    return F.concat(F.lit("PX"), zero_padded(F.col(key), 6))
 
 
 def _text(*parts) -> Column:
@@ -78,7 +79,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
             entry(_text(stem, ".raw"), size, (kind == 0) & (F.col("l_linenumber") == 1)),
         )
     )
-    listed = line.select(_px("l_suppkey").alias("repository_id"), root.alias("root_path"), F.inline(entries))
+    listed = line.select(_px("l_suppkey").alias("repository_id"), root.alias("root_path"), F.inline_outer(entries))
     folders = table(spark, sf_dir, "supplier").select(
         _px("s_suppkey").alias("repository_id"),
         _text("/data/", F.col("s_suppkey")).alias("root_path"),

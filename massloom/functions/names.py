@@ -17,7 +17,12 @@ _ADDRESS = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:([^/?#]*)@)?([^/?#@:]*)(?::([0-9]*))?
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)\z", 1)
+    return F.substring_index(path, "/", -1)
+
+
+def folder_name(path: Column) -> Column:
+    """The path without its last name and the slash before it."""
+    return F.substring(path, F.lit(1), F.length(path) - F.length(base_name(path)) - 1)
 
 
 def sample_id(repository_id: Column, path: Column) -> Column:

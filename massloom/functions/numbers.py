@@ -24,8 +24,9 @@ def human_size(size: Column) -> Column:
 
 
 def zero_padded(number: Column, width: int) -> Column:
-    """At least ``width`` digits; longer numbers stay whole, unlike ``lpad``."""
-    return F.format_string(f"%0{width}d", number.cast("bigint"))
+    """At least ``width`` digits; longer numbers stay whole."""
+    text = number.cast("bigint").cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def to_number(text: Column) -> Column:

@@ -23,6 +23,10 @@ BIN_WIDTH = (HISTOGRAM_HIGH - HISTOGRAM_LOW) / HISTOGRAM_BINS
 PERCENTAGES = [50.0 * (1.0 + math.erf(6.0 * i / 100.0 / math.sqrt(2.0))) for i in range(-50, 51)]
 
 
+def percentages() -> Column:
+    return F.expr("array(" + ", ".join(f"{p!r}D" for p in PERCENTAGES) + ")")
+
+
 def log_of(value: Column) -> Column:
     return F.log10(F.lit(1.0) + value)
 
@@ -74,8 +78,8 @@ def histogram_slots(intensity: Column) -> Column:
     walk the peaks a hundred times.
     """
     odd = F.transform(usable(intensity), lambda x: _bin_of(log_of(x)) * 2 + 1)
-    edges = [2 * b for b in range(-1, HISTOGRAM_BINS + 2)]
-    ordered = F.sort_array(F.concat(odd, F.array(*[F.lit(e) for e in edges])))
+    edges = F.sequence(F.lit(-2), F.lit(2 * HISTOGRAM_BINS + 2), F.lit(2))
+    ordered = F.sort_array(F.concat(odd, edges))
     placed = F.transform(ordered, lambda v, i: F.when(v % 2 == 0, i))
     marks = F.filter(placed, lambda i: i.isNotNull())
     return F.transform(gaps(marks), lambda d: d - 1)
@@ -100,5 +104,4 @@ def quantile_profile(ordered: Column) -> Column:
             log_of(F.get(ordered, n - 1))
         )
 
-    wanted = F.array(*[F.lit(p) for p in PERCENTAGES])
-    return F.when(n > 0, F.transform(wanted, at))
+    return F.when(n > 0, F.transform(percentages(), at))

@@ -13,66 +13,79 @@ COMPANION_SUFFIX = ".wiff.scan"
 COMPANION_TAIL = ".scan"
 
 
+def _root(root_path: Column) -> Column:
+    return F.rtrim(root_path, F.lit("/"))
+
+
 def unique_listing(listing: DataFrame) -> DataFrame:
-    """One row per path, so that a repeated crawl does not count twice."""
+    """One row per path, so that a repeated crawl does not count twice.
+
+    ``in_bundle``: the path lies below a ``.d`` directory. Only names below
+    the scan root count.
+    """
+    relative = F.substring(F.col("path"), F.length(_root(F.col("root_path"))) + 2, F.length("path"))
     return listing.groupBy("repository_id", "root_path", "path").agg(
         F.bool_or("is_dir").alias("is_dir"),
         F.max("size_bytes").alias("size_bytes"),
+        F.bool_or(F.contains(F.lower(relative), F.lit(".d/"))).alias("in_bundle"),
     )
 
 
-def _root(root_path: Column) -> Column:
-    return F.regexp_replace(root_path, r"/+\z", "")
-
-
 def contributions(listing: DataFrame) -> DataFrame:
-    """Rows (path, bytes) whose sum per path is the rolled-up listing.
+    """Rows (path, bytes) whose sum per path is the rolled-up, pruned listing.
 
     A file contributes its size to itself. Files are first summed per parent
     folder; that sum goes to the parent and to all folders above it, up to but
     not including the root. So rows are multiplied by the depth only after
     they have shrunk to folders. Listed folders contribute 0, which keeps the
-    empty ones.
+    empty ones. What lies below a ``.d`` directory is left out; the directory
+    itself stays, with its full size.
+
+    Both branches read the same columns of the unique listing and filter only
+    on its aggregates, so that its shuffle is made once and used twice.
     """
     root = _root(F.col("root_path"))
-    below = unique_listing(listing).where(F.startswith(F.col("path"), F.concat(root, F.lit("/"))))
-    listed = below.select(
+    below = unique_listing(listing.where(F.startswith(F.col("path"), F.concat(root, F.lit("/")))))
+    listed = below.where(~F.col("in_bundle")).select(
         "repository_id",
-        "root_path",
         F.col("path").alias("remote_path"),
         F.when(F.col("is_dir"), F.lit(0)).otherwise(F.col("size_bytes")).alias("size_bytes"),
         "is_dir",
     )
     parents = (
         below.where(~F.col("is_dir"))
-        .groupBy("repository_id", "root_path", F.regexp_replace("path", r"/[^/]*\z", "").alias("_parent"))
+        .groupBy(
+            "repository_id",
+            "root_path",
+            names.folder_name(F.col("path")).alias("_parent"),
+            # The same for all files of a folder.
+            "in_bundle",
+        )
         .agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"))
-        .where(F.col("_parent") != root)
     )
-    names_below_root = F.split(F.substring(F.col("_parent"), F.length(root) + 2, F.length("_parent")), "/")
-    ancestors = F.transform(
-        F.sequence(F.lit(1), F.size("_names")),
-        lambda k: F.concat_ws("/", root, F.array_join(F.slice(F.col("_names"), F.lit(1), k), "/")),
-    )
-    folders = parents.withColumn("_names", names_below_root).select(
-        "repository_id",
-        "root_path",
-        F.explode(ancestors).alias("remote_path"),
-        "size_bytes",
-        F.lit(True).alias("is_dir"),
+    relative = F.substring(F.col("_parent"), F.length(root) + 2, F.length("_parent"))
+    # Up to the outermost .d directory, where there is one.
+    kept = F.when(F.col("in_bundle"), F.regexp_extract(relative, r"(?i)^(.*?\.d)(?:/|\z)", 1)).otherwise(relative)
+    folders = (
+        parents.withColumn("_names", F.split(kept, "/"))
+        .withColumn(
+            "_folders",
+            F.transform(
+                F.sequence(F.lit(1), F.size("_names")),
+                lambda k: F.concat_ws("/", root, F.array_join(F.slice("_names", F.lit(1), k), "/")),
+            ),
+        )
+        .select(
+            "repository_id",
+            F.explode_outer(F.when(F.col("_parent") != root, F.col("_folders"))).alias("remote_path"),
+            "size_bytes",
+            F.lit(True).alias("is_dir"),
+        )
+        .where(F.col("remote_path").isNotNull())
     )
     return listed.unionByName(folders)
 
 
-def prune_bundles(rows: DataFrame) -> DataFrame:
-    """Drop what lies below a ``.d`` directory; the directory itself stays.
-
-    Only names below the scan root count.
-    """
-    relative = F.substring(F.col("remote_path"), F.length(_root(F.col("root_path"))) + 2, F.length("remote_path"))
-    return rows.where(~F.rlike(relative, F.lit(r"(?i)\.d/")))
-
-
 def roll_up(rows: DataFrame) -> DataFrame:
     """Files and directories, each directory with the bytes of all files below."""
     return rows.groupBy("repository_id", "remote_path").agg(

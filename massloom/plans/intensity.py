@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from massloom.functions import peaks
-from massloom.operators.firsts import first_per_key
+from massloom.operators.firsts import first_per_key, split_repeated
 
+SCAN = ["basename", "scan_number"]
 HEAD = ["basename", "scan_number", "ms_level", "peaks", "min_mz", "max_mz", "min_int", "max_int"]
 
 
 def scan_heads(spectra: DataFrame) -> DataFrame:
-    """Peak count, m/z range and log-intensity range, next to the input columns."""
+    """Peak count, m/z range and log-intensity range, next to the intensities."""
     raw = peaks.usable(F.col("intensity"))
-    return spectra.where(F.col("ms_level").isNotNull()).select(
-        "basename",
-        "scan_number",
-        "scan_seq",
+    return spectra.select(
+        *SCAN,
         "ms_level",
         F.size(raw).alias("peaks"),
         F.array_min("mz").alias("min_mz"),
@@ -28,25 +27,24 @@ def scan_heads(spectra: DataFrame) -> DataFrame:
     )
 
 
-def _first_scan(df: DataFrame) -> DataFrame:
+def _first_scans(spectra: DataFrame) -> DataFrame:
     """One row per run and scan number, the first in the file.
 
-    Called on results, which are far smaller than the peaks they come from.
+    Peaks of scans with a number of their own are not shuffled.
     """
-    return first_per_key(df, ["basename", "scan_number"], ["scan_seq"]).drop("scan_seq")
+    unique, repeated = split_repeated(spectra.where(F.col("ms_level").isNotNull()), SCAN)
+    return unique.unionByName(first_per_key(repeated, SCAN, ["scan_seq"]))
 
 
 def histogram(spectra: DataFrame) -> DataFrame:
     """Scan heads with ``under``, ``over`` and the array of 100 bin counts."""
-    counted = scan_heads(spectra).withColumn("slots", peaks.histogram_slots(F.col("intensity"))).drop("intensity")
-    return _first_scan(
-        counted.select(
-            *HEAD,
-            "scan_seq",
-            F.get("slots", F.lit(0)).alias("under"),
-            F.get("slots", F.lit(peaks.HISTOGRAM_BINS + 1)).alias("over"),
-            F.slice("slots", 2, peaks.HISTOGRAM_BINS).alias("bins"),
-        )
+    scans = _first_scans(spectra.select(*SCAN, "scan_seq", "ms_level", "mz", "intensity"))
+    counted = scan_heads(scans).withColumn("slots", peaks.histogram_slots(F.col("intensity")))
+    return counted.select(
+        *HEAD,
+        F.get("slots", F.lit(0)).alias("under"),
+        F.get("slots", F.lit(peaks.HISTOGRAM_BINS + 1)).alias("over"),
+        F.slice("slots", 2, peaks.HISTOGRAM_BINS).alias("bins"),
     )
 
 
@@ -54,7 +52,7 @@ def histogram_long(counts: DataFrame) -> DataFrame:
     """One row per scan and non-empty bin with its edges."""
     low = F.lit(peaks.HISTOGRAM_LOW) + F.lit(peaks.BIN_WIDTH) * F.col("bin")
     return (
-        counts.select("basename", "scan_number", F.posexplode("bins").alias("bin", "n"))
+        counts.select("basename", "scan_number", F.posexplode_outer("bins").alias("bin", "n"))
         .where(F.col("n") > 0)
         .select("basename", "scan_number", "bin", low.alias("lo"), (low + F.lit(peaks.BIN_WIDTH)).alias("hi"), "n")
     )
@@ -62,29 +60,29 @@ def histogram_long(counts: DataFrame) -> DataFrame:
 
 def histogram_wide(counts: DataFrame) -> DataFrame:
     """One column per bin, named by bin index: ibin_00 to ibin_99."""
-    bins = [F.get("bins", F.lit(b)).alias(f"ibin_{b:02d}") for b in range(peaks.HISTOGRAM_BINS)]
-    return counts.select(*HEAD, "under", "over", *bins)
+    bins = [f"get(bins, {b}) AS ibin_{b:02d}" for b in range(peaks.HISTOGRAM_BINS)]
+    return counts.selectExpr(*HEAD, "under", "over", *bins)
 
 
 def quantiles(spectra: DataFrame) -> DataFrame:
     """Scan heads with the array of 101 log-intensity quantiles; null without peaks."""
-    profile = peaks.quantile_profile(F.col("_ordered"))
-    profiled = (
-        scan_heads(spectra)
+    scans = _first_scans(spectra.select(*SCAN, "scan_seq", "ms_level", "mz", "intensity"))
+    return (
+        scan_heads(scans)
         .withColumn("_ordered", F.sort_array(peaks.usable(F.col("intensity"))))
-        .withColumn("quantiles", profile)
+        .select(*HEAD, peaks.quantile_profile(F.col("_ordered")).alias("quantiles"))
     )
-    return _first_scan(profiled.select(*HEAD, "scan_seq", "quantiles"))
 
 
 def quantiles_long(profiles: DataFrame) -> DataFrame:
-    percentages = F.array(*[F.lit(p) for p in peaks.PERCENTAGES])
-    return profiles.select(
-        "basename", "scan_number", F.posexplode("quantiles").alias("quantile", "value")
-    ).select("basename", "scan_number", "quantile", F.get(percentages, F.col("quantile")).alias("percent"), "value")
+    # An outer explode: the plain one adds a filter on the array, which the
+    # optimizer would push down together with a second copy of its computation.
+    percentages = peaks.percentages()
+    exploded = profiles.select("basename", "scan_number", F.posexplode_outer("quantiles").alias("quantile", "value"))
+    return exploded.where(F.col("quantile").isNotNull()).select("basename", "scan_number", "quantile", F.get(percentages, F.col("quantile")).alias("percent"), "value")
 
 
 def quantiles_wide(profiles: DataFrame) -> DataFrame:
     """One column per quantile, named by position: p_000 to p_100."""
-    columns = [F.get("quantiles", F.lit(i)).alias(f"p_{i:03d}") for i in range(len(peaks.PERCENTAGES))]
-    return profiles.select(*HEAD, *columns)
+    columns = [f"get(quantiles, {i}) AS p_{i:03d}" for i in range(len(peaks.PERCENTAGES))]
+    return profiles.selectExpr(*HEAD, *columns)

@@ -35,8 +35,7 @@ def load_manifest(spark: SparkSession, csv_path: str) -> DataFrame:
 def build_files(listing: DataFrame, scan_timestamp: Column | None = None) -> DataFrame:
     """The ``files`` table of a listing: rolled up, pruned, fused, classified."""
     stamp = F.current_timestamp() if scan_timestamp is None else scan_timestamp
-    rows = inventory.prune_bundles(inventory.contributions(listing))
-    return inventory.classify(inventory.fuse(rows), stamp)
+    return inventory.classify(inventory.fuse(inventory.contributions(listing)), stamp)
 
 
 def samples_summary(files: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -192,7 +194,7 @@ def run_measures(spectra: DataFrame) -> DataFrame:
     )
     empty = F.array().cast("array<struct<group:string,measure:string,x:double>>")
     precursor = F.when(F.col("ms_level") == 2, F.coalesce(_precursor_measures(), empty)).otherwise(empty)
-    exploded = known.select("basename", F.inline(F.concat(_scan_measures(), precursor)))
+    exploded = known.select("basename", F.inline_outer(F.concat(_scan_measures(), precursor)))
     return (
         exploded.where(F.col("x").isNotNull() & F.col("group").isNotNull())
         .groupBy("basename", "group", "measure")
@@ -207,34 +209,26 @@ def run_measures(spectra: DataFrame) -> DataFrame:
     )
 
 
+_WANTED_DDL = "map<string,array<struct<stat:string,accession:string,name:string>>>"
+
+
+def _named_lines():
+    for key, lines in REPORTED.items():
+        yield key, [{"stat": stat, "accession": accession, "name": name} for stat, accession, name in lines]
+
+
 def statistics_rows(measures: DataFrame) -> DataFrame:
     """Measures as EAV rows with ``value`` as text and ``value_num``."""
-    key = F.concat_ws("/", "group", "measure")
-    wanted = F.create_map(
-        *[
-            part
-            for (group, measure), lines in REPORTED.items()
-            for part in (
-                F.lit(f"{group}/{measure}"),
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(stat).alias("stat"), F.lit(accession).alias("accession"), F.lit(name).alias("name")
-                        )
-                        for stat, accession, name in lines
-                    ]
-                ),
-            )
-        ]
-    )
+    # A constant map from group/measure to its lines, as one SQL literal.
+    wanted = F.from_json(F.lit(json.dumps({f"{g}/{m}": lines for (g, m), lines in _named_lines()})), _WANTED_DDL)
     number = F.lit(None).cast("double")
     for stat in ("sum", "min", "max", "avg", "std"):
         number = F.when(F.col("stat") == stat, F.col(stat)).otherwise(number)
     number = F.when(F.col("stat") == "seconds", (F.col("max") - F.col("min")) * 60.0).otherwise(number)
     is_count = F.col("stat") == "sum"
     numeric = (
-        measures.withColumn("_key", key)
-        .select("*", F.inline(F.try_element_at(wanted, F.col("_key"))))
+        measures.withColumn("_lines", F.try_element_at(wanted, F.concat_ws("/", "group", "measure")))
+        .select("basename", "group", "n", "sum", "min", "max", "avg", "std", F.inline_outer("_lines"))
         .withColumn("value_num", F.when(is_count, number).otherwise(round3(number)))
         .where(F.col("value_num").isNotNull())
         .select(

@@ -9,7 +9,7 @@ from massloom.functions import cv as terms
 from massloom.functions import peaks
 from massloom.functions.numbers import decimal_text, round3, whole_text
 from massloom.operators.asof import last_marked
-from massloom.operators.firsts import first_per_key
+from massloom.operators.firsts import first_per_key, split_repeated
 
 # Accession and name of the computed rows, in output order.
 PARENT = ("parent:ms1", "Parent MS1 scan")
@@ -26,6 +26,7 @@ PEAK_ROWS = {
 }
 MIN_FOR_MEDIAN = 3  # medians need more values than this
 DEFAULT_PARENT = 1
+COMPUTED_FROM = 1_000_000  # position of the first computed row of a scan
 
 
 def peak_stats(spectra: DataFrame, intensity_median_above: int = 0, gap_median_above: int = 0) -> DataFrame:
@@ -73,37 +74,68 @@ def _row(pos: Column | int, accession, name, value: Column, number: Column | Non
         (F.lit(accession) if isinstance(accession, str) else accession).alias("accession"),
         (F.lit(name) if isinstance(name, str) else name).alias("name"),
         value.alias("value"),
-        (F.lit(None).cast("double") if number is None else number.cast("double")).alias("value_num"),
+        (F.lit(None) if number is None else number).cast("double").alias("value_num"),
     )
 
 
-def scan_metadata(spectra: DataFrame, ms_level: int) -> DataFrame:
-    """One row per scan and accession for the scans of one MS level.
+def _first_in_scan(cv: Column) -> Column:
+    """Reportable parameters, of each accession the first in document order."""
+    given = terms.reportable(cv)
+    known = F.transform(given, lambda p: p["accession"])
+    return F.filter(given, lambda p, i: F.array_position(known, p["accession"]) == i + 1)
+
+
+def _scan_rows(spectra: DataFrame) -> DataFrame:
+    """Parameters and peak statistics of each scan, exploded once.
 
-    Of repeated accessions the first in document order counts. Parameters,
-    parent link and statistics of a scan become one array that is exploded
-    once, so the spectra are read a single time.
+    The explode is an outer one: the plain one adds a filter on the array, and
+    the optimizer would push it down with a second copy of all computations.
     """
-    level = spectra.where(F.col("ms_level") == ms_level)
-    statistics = peak_stats(level, MIN_FOR_MEDIAN, MIN_FOR_MEDIAN)
     computed = []
     for at, (column, (accession, name)) in enumerate(PEAK_ROWS.items()):
         value = F.col(column) if column == "peak_count" else round3(F.col(column))
         text = whole_text(value) if column == "peak_count" else decimal_text(value)
-        computed.append(_row(1_000_001 + at, accession, name, text, value))
-    if ms_level == 2:
-        parents = parent_scans(spectra).where(F.col("ms_level") == 2).select("basename", "scan_seq", "parent_scan")
-        statistics = statistics.join(parents, ["basename", "scan_seq"])
-        parent = F.col("parent_scan")
-        computed.insert(0, _row(1_000_000, *PARENT, whole_text(parent), parent))
+        computed.append(_row(COMPUTED_FROM + at, accession, name, text, value))
     given = F.transform(
-        terms.reportable(F.coalesce("cv", F.array())),
-        lambda p, i: _row(i, p["accession"], p["name"], p["value"]),
+        "_given", lambda p, i: _row(i, p["accession"], p["name"], p["value"])
+    )
+    rows = F.concat(given, F.array(*computed))
+    return (
+        peak_stats(spectra, MIN_FOR_MEDIAN, MIN_FOR_MEDIAN)
+        .withColumn("_given", _first_in_scan(F.coalesce("cv", F.array())))
+        .select("basename", "scan_number", "scan_seq", F.inline_outer(rows))
+        .where((F.col("pos") < COMPUTED_FROM) | F.col("value_num").isNotNull())
+    )
+
+
+def scan_metadata(spectra: DataFrame, ms_level: int) -> DataFrame:
+    """One row per scan and accession for the scans of one MS level.
+
+    Of repeated accessions the first in document order counts, also where a
+    run uses a scan number twice. The rows of ordinary scans are made in place;
+    only scans with a repeated number and the parent links are shuffled.
+    """
+    key = ["basename", "scan_number"]
+    unique, repeated = split_repeated(spectra.where(F.col("ms_level") == ms_level), key)
+    columns = [*key, "accession", "name", "value", "value_num"]
+    rows = _scan_rows(unique).select(*columns).unionByName(
+        first_per_key(_scan_rows(repeated), [*key, "accession"], ["scan_seq", "pos"]).select(*columns)
     )
-    rows = F.filter(
-        F.concat(given, F.array(*computed)), lambda r: (r["pos"] < 1_000_000) | r["value_num"].isNotNull()
+    if ms_level != 2:
+        return rows
+    parents = (
+        parent_scans(spectra)
+        .where(F.col("ms_level") == 2)
+        .groupBy(*key)
+        .agg(F.min_by("parent_scan", "scan_seq").alias("parent"))
     )
-    exploded = statistics.select("basename", "scan_number", "scan_seq", F.inline(rows))
-    return first_per_key(exploded, ["basename", "scan_number", "accession"], ["scan_seq", "pos"]).drop(
-        "scan_seq", "pos"
+    accession, name = PARENT
+    return rows.unionByName(
+        parents.select(
+            *key,
+            F.lit(accession).alias("accession"),
+            F.lit(name).alias("name"),
+            whole_text(F.col("parent")).alias("value"),
+            F.col("parent").cast("double").alias("value_num"),
+        )
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,19 @@ def build_session(app: str = "massloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per session.
+
+    Needed where it is not installed there; the same as ``--py-files``.
+    """
+    if getattr(spark.sparkContext, "_massloom_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    archive = shutil.make_archive(tempfile.mkdtemp(prefix="massloom-") + "/massloom", "zip", here.parent, here.name)
+    spark.sparkContext.addPyFile(archive)
+    spark.sparkContext._massloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from massloom.functions import cv as terms
 from massloom.functions.names import run_name
@@ -61,7 +62,7 @@ def _precursor_params(p: Column) -> Column:
     )
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _unpack(data: pd.Series, is_float32: pd.Series, is_zlib: pd.Series) -> pd.Series:
     """Little-endian floats, maybe deflated, to doubles."""
 
