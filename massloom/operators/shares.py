@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from massloom.session import durable
+
 DEFAULT_THRESHOLD = 0.02
 
 
@@ -24,10 +26,11 @@ def fold_small(
     own label; a cut whose total is not positive stays as it is; a cut with
     only one group is left out unless ``keep_single``. Totals are an aggregate
     joined back, not a window, so a cut with very many labels is not held by
-    one task.
+    one task. The grouped rows, far fewer than the data behind them, are
+    written once, so that both sides of that join do not group the data again.
     """
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    known = grouped.where(F.col(label).isNotNull())
+    known = durable(grouped.where(F.col(label).isNotNull()), "groups")
     totals = known.groupBy(*cut).agg(F.sum(value).alias("_total"), F.count("*").alias("_groups"))
     if not keep_single:
         totals = totals.where(F.col("_groups") > 1)

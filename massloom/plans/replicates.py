@@ -72,8 +72,9 @@ def worklist(replicates: DataFrame, files: DataFrame, repositories: DataFrame, l
     """What to fetch, one row per remote file, for all replicates at once.
 
     A ``.d`` folder yields every file below it, a ``.wiff`` its ``.wiff.scan``
-    as well. No broadcast is forced: the optimizer broadcasts a side whose
-    size it has checked, and adaptive skew joins split a hot repository.
+    as well. Each listed file belongs to at most one sample path, so one join
+    finds them all. No broadcast is forced: the optimizer broadcasts a side
+    whose size it has checked, and adaptive skew joins split a hot repository.
     """
     address = names.ftp_parts(F.col("url"))
     sites = repositories.select(
@@ -83,76 +84,43 @@ def worklist(replicates: DataFrame, files: DataFrame, repositories: DataFrame, l
     samples = (
         replicates.select("id")
         .where(F.col("id").isNotNull())
-        .join(files.select("id", "repository_id", "remote_path", "size_bytes"), "id")
-        .withColumnRenamed("remote_path", "sample_path")
+        .join(files.select("id", "repository_id", F.col("remote_path").alias("sample_path")), "id")
     )
-    bundle = F.lower("sample_path").endswith(".d")
     # The outermost .d folder below the root, or the .wiff a scan belongs to.
-    root = F.regexp_replace("root_path", r"/+\z", "")
-    relative = F.expr("substring(path, length(regexp_replace(root_path, '/+$', '')) + 1)")
-    folder = F.nullif(F.regexp_extract(relative, r"(?i)^(.*?\.d)/", 1), F.lit(""))
-    scan_of = F.when(
-        F.endswith(F.col("path"), F.lit(".scan")), F.expr("left(path, length(path) - 5)")
-    )
-    remote = (
+    root = F.rtrim("root_path", F.lit("/"))
+    relative = F.substring(F.col("path"), F.length(root) + 1, F.length("path"))
+    folder = F.concat(root, F.nullif(F.regexp_extract(relative, r"(?i)^(.*?\.d)/", 1), F.lit("")))
+    without_scan = F.expr("left(path, length(path) - 5)")
+    scan = F.endswith(F.col("path"), F.lit(".scan")) & F.endswith(F.lower(without_scan), F.lit(".wiff"))
+    parts = (
         listing.where(~F.col("is_dir"))
         .groupBy("repository_id", "root_path", "path")
-        .agg(F.max("size_bytes").alias("file_bytes"))
-    )
-    parts = remote.select(
-        "repository_id",
-        F.coalesce(F.concat(root, folder), scan_of).alias("sample_path"),
-        F.col("path").alias("part_path"),
-        "file_bytes",
-        folder.isNotNull().alias("in_folder"),
-    ).where(F.col("sample_path").isNotNull())
-    stem = F.concat(F.lit("raw/"), F.col("id"))
-    whole = samples.select(
-        "id",
-        "repository_id",
-        "sample_path",
-        F.col("sample_path").alias("remote_path"),
-        F.concat(F.lit("raw/"), names.output_name(F.col("id"), F.col("sample_path"))).alias("output_path"),
-        bundle.alias("_bundle"),
-    )
-    inside = (
-        samples.select("id", "repository_id", "sample_path", bundle.alias("_bundle"))
-        .join(parts, ["repository_id", "sample_path"])
-        .where(F.col("_bundle") == F.col("in_folder"))
-        .where(F.col("in_folder") | F.lower("sample_path").endswith(".wiff"))
+        .agg(F.max("size_bytes").alias("size_bytes"))
         .select(
-            "id",
             "repository_id",
-            "sample_path",
-            F.col("part_path").alias("remote_path"),
-            F.when(
-                F.col("in_folder"),
-                F.concat(stem, F.lit(".d"), F.expr("substring(part_path, length(sample_path) + 1)")),
-            )
-            .otherwise(F.concat(stem, F.lit(".wiff.scan")))
-            .alias("output_path"),
-            "file_bytes",
+            F.coalesce(folder, F.when(scan, without_scan), F.col("path")).alias("sample_path"),
+            F.col("path").alias("remote_path"),
+            "size_bytes",
+            F.when(folder.isNotNull(), "in_folder").when(scan, "scan").otherwise("whole").alias("kind"),
         )
     )
-    own = (
-        whole.where(~F.col("_bundle"))
-        .join(
-            remote.select("repository_id", F.col("path").alias("remote_path"), "file_bytes"),
-            ["repository_id", "remote_path"],
-            "left",
-        )
-        .select("id", "repository_id", "sample_path", "remote_path", "output_path", "file_bytes")
+    name = names.output_name(F.col("id"), F.col("sample_path"))
+    inside = F.substring(F.col("remote_path"), F.length("sample_path") + 1, F.length("remote_path"))
+    output = (
+        F.when(F.col("kind") == "in_folder", F.concat(F.col("id"), F.lit(".d"), inside))
+        .when(F.col("kind") == "scan", F.concat(name, F.lit(".scan")))
+        .otherwise(name)
     )
     return (
-        own.unionByName(inside)
+        samples.join(parts, ["repository_id", "sample_path"], "left")
         .join(sites, "repository_id")
         .select(
             F.col("id").alias("sample_id"),
             "repository_id",
             "sample_path",
-            "remote_path",
-            F.col("file_bytes").alias("size_bytes"),
-            "output_path",
+            F.coalesce("remote_path", "sample_path").alias("remote_path"),
+            "size_bytes",
+            F.concat(F.lit("raw/"), output).alias("output_path"),
             "host",
             "port",
             "user",
