@@ -229,7 +229,10 @@ def sql_typed_literals(spark, sf):
         F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("it's '"), F.col("o_orderpriority"))).alias("note"),
         (F.col("o_orderstatus") == "F").alias("done"),
         F.when(F.col("o_orderkey") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("o_orderkey") * 0.5).alias("half"),
-        (F.timestamp_seconds(F.col("o_orderkey") * 1.5)).alias("stamp"),
+        # Without a time zone, so that the session's does not matter.
+        F.expr(
+            "timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(o_orderkey * 1.5 AS decimal(18, 6)))"
+        ).alias("stamp"),
     )
     contract = orders.schema
     return sql_dump.insert_lines("orders", 0, orders, contract)

@@ -16,7 +16,8 @@ from massloom.session import durable, spread
 
 SCAN_TIME = "2024-01-01 00:00:00"
 SUFFIXES = [".raw", ".RAW", ".mzML.gz", ".d/analysis.tdf", ".wiff", ".wiff.scan", ".pdf", ".mgf.zip"]
-# Upper bounds of l_orderkey % 1000, doubling, so that the shares do too.
+# Upper bounds of l_orderkey % 1000, doubling, so that the shares do too: the
+# organism is the number of binary digits of l_orderkey % 1000 + 1.
 ORGANISMS = [
     (1, "archaea"), (3, "fly"), (7, "worm"), (15, "rat"), (31, "yeast"), (63, "pig"),
     (127, "plant"), (255, "bacteria"), (511, "mouse"), (1000, "human"),
@@ -114,9 +115,8 @@ def replicates(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) ->
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    organism = F.lit(None).cast("string")
-    for bound, name in reversed(ORGANISMS):
-        organism = F.when(F.col("_order") % 1000 < bound, F.lit(name)).otherwise(organism)
+    digits = F.length(F.bin(F.col("_order") % 1000 + 1))
+    organism = F.get(F.array(*[F.lit(name) for _, name in ORGANISMS]), digits - 1)
     return (
         samples.join(orders, F.col("_order") == F.col("o_orderkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")

@@ -139,3 +139,10 @@ def scan_metadata(spectra: DataFrame, ms_level: int) -> DataFrame:
             F.col("parent").cast("double").alias("value_num"),
         )
     )
+
+
+def scans_written(rows: DataFrame) -> DataFrame:
+    """Rows and distinct scans per run of a scan table."""
+    return rows.groupBy("basename").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("scan_number").alias("n_scans")
+    )

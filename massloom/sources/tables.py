@@ -29,8 +29,8 @@ def read_annotations(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_table(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """All Parquet files below ``path``; an empty table where there are none.
 
-    Columns are matched by name, missing ones are null. Files whose types are
-    narrower or wider than the contract need ``union_relaxed``.
+    Columns are matched by name, missing ones are null, and files with a
+    narrower number type are widened to the contract's.
     """
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in contract.fields])
     try:

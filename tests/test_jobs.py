@@ -208,6 +208,10 @@ def test_table_source_and_sinks(spark, tmp_path, catalogue):
     sinks.write_partitioned(annotated.withColumn("accession", F.lit("B")).limit(1), path, "accession")
     assert tables.read_table(spark, path, contracts.REPLICATES).count() == 4
     assert sinks.not_yet_done(files.where("id is not null"), annotated.where("condition = 'x'"), "id").count() == 1
+    mixed = tmp_path / "mixed"
+    spark.sql("select 'P' repository_id, '/a' remote_path, 5 size_bytes").write.parquet(str(mixed / "one"))
+    spark.sql("select '/b' remote_path, 'P' repository_id, 6L size_bytes, 'x' id").write.parquet(str(mixed / "two" / "deep"))
+    assert _rows(tables.read_table(spark, str(mixed), contracts.FILES), "remote_path", "size_bytes") == [("/a", 5), ("/b", 6)]
     wide = tables.union_relaxed([spark.sql("select 1 a, 'x' b"), spark.sql("select 2.5D a, 3 c")])
     assert _rows(wide, "a", F.coalesce("b", F.lit("")), F.coalesce("c", F.lit(0))) == [(1.0, "x", 0), (2.5, "", 3)]
 
@@ -283,6 +287,8 @@ def test_scan_metadata(run):
     # A scan number used twice: the first occurrence counts for each accession.
     assert got[4, "A"] == "1" and got[4, "peak_count"] == "0" and (4, "B") in got and got[4, "B"] is None
     assert (4, "MS:1000515") not in got
+    written = scan_metadata.scans_written(scan_metadata.scan_metadata(run, 2)).first()
+    assert (written["n_rows"], written["n_scans"]) == (len(got), 3)
     ms1 = {r["accession"]: r["value"] for r in scan_metadata.scan_metadata(run, 1).collect()}
     assert "parent:ms1" not in ms1 and "peak_intensity:median" not in ms1
     assert ms1["peak_separation:min"] == "0.5" and ms1["peak_separation:max"] == "1.5"
