@@ -6,10 +6,11 @@ a piece, ordered by score and then by place; the best pair is merged, its new
 neighbours join the agenda, until none is left. Symbols without a piece fall
 back to bytes.
 
-No piece has a word mark behind another character, so no merge crosses the
-border before a run of word marks: each run with what follows it is encoded by
-itself, and short ones are remembered. Everything encoded anew in an Arrow
-batch is checked against the sentencepiece library in one call.
+No piece mixes letters, digits and other characters, or has a word mark behind
+another character (a vocabulary is refused otherwise), so no merge crosses such
+a border: each run between two borders is a word, is encoded by itself, and
+short ones are remembered. Every word encoded anew is decoded from its ids and,
+in one call per Arrow batch, checked against the sentencepiece library.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from massloom.llm.shared import map_batches, whole_text
 
 MARK = "▁"
 #: Words up to this many characters are remembered, up to this many of them in a worker.
-WORD_CHARS, WORDS = 64, 200_000
+WORD_CHARS, WORDS = 64, 300_000
 
 
 class Codec(dict):
-    """Ids (little-endian bytes) and decoded text of each word; made when first asked for."""
+    """Ids (little-endian bytes) of each word; made when first asked for."""
 
     def __init__(self, model: bytes) -> None:
         super().__init__()
@@ -41,52 +42,61 @@ class Codec(dict):
         self.names = [library.id_to_piece(i) for i in range(library.get_piece_size())]
         self.bytes = {int(n[3:5], 16): i for i, n in enumerate(self.names) if library.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.pieces = {
-            n: (-library.get_score(i), i)
-            for i, n in enumerate(self.names)
+        usable = [
+            i
+            for i in range(len(self.names))
             if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i) or library.is_unused(i))
-        }
-        if any(re.search(f"[^{MARK}]{MARK}", n) for n in self.pieces):
+        ]
+        self.ids = {self.names[i]: i for i in usable}
+        # Places in the order of scores; the agenda holds them with the place in the word in one number.
+        scores = sorted({-library.get_score(i) for i in usable})
+        place = {score: at for at, score in enumerate(scores)}
+        self.order = {self.names[i]: place[-library.get_score(i)] << 32 for i in usable}
+        self.word = word_pattern(self.ids)
+        if any(self.word.findall(n) != [n] or ("\n" in n and n != "\n") for n in self.ids):
             raise ValueError("this vocabulary has pieces that cross words")
         if len(self.bytes) != 256:
             raise ValueError("this vocabulary has no byte fallback")
         self.ends = array("I", [library.bos_id()]), array("I", [library.eos_id()])
+        self.line = len(library.encode("\n"))
         self.unchecked: list[tuple[str, array]] = []
 
     def merge(self, word: str) -> array:
         """Ids of one word by the agenda."""
-        pieces = self.pieces
+        order = self.order
         symbols: list[str] = list(word)
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        agenda: list[tuple[float, int, str]] = []
-
-        def offer(left: int) -> None:
-            if 0 <= left and after[left] < len(symbols):
-                pair = symbols[left] + symbols[after[left]]
-                if pair in pieces:
-                    heapq.heappush(agenda, (pieces[pair][0], left, pair))
-
-        for at in range(len(symbols) - 1):
-            offer(at)
+        size = len(symbols)
+        after = list(range(1, size + 1))
+        before = list(range(-1, size - 1))
+        agenda = [
+            order[pair] | at for at, pair in enumerate(map(str.__add__, symbols, symbols[1:])) if pair in order
+        ]
+        heapq.heapify(agenda)
         while agenda:
-            _, left, pair = heapq.heappop(agenda)
+            entry = heapq.heappop(agenda)
+            left = entry & 0xFFFFFFFF
             right = after[left]
-            # A symbol merged since then is empty or longer, so the pair no longer stands.
-            if not symbols[left] or right >= len(symbols) or symbols[left] + symbols[right] != pair:
+            # A symbol merged since then is empty or longer, so that its pair no longer stands.
+            if right >= size or not symbols[left]:
+                continue
+            pair = symbols[left] + symbols[right]
+            if order.get(pair, -1) | left != entry:
                 continue
             symbols[left], symbols[right] = pair, ""
-            after[left] = after[right]
-            if after[left] < len(symbols):
-                before[after[left]] = left
-            offer(before[left])
-            offer(left)
+            right = after[left] = after[right]
+            if right < size:
+                before[right] = left
+                if (new := pair + symbols[right]) in order:
+                    heapq.heappush(agenda, order[new] | left)
+            earlier = before[left]
+            if earlier >= 0 and (new := symbols[earlier] + pair) in order:
+                heapq.heappush(agenda, order[new] | earlier)
         ids = array("I")
         for symbol in symbols:
-            if symbol in pieces:
-                ids.append(pieces[symbol][1])
-            else:
-                ids.extend(self.bytes[b] for b in symbol.encode())
+            if symbol in self.ids:
+                ids.append(self.ids[symbol])
+            elif symbol:
+                ids.extend([self.bytes[b] for b in symbol.encode()])
         return ids
 
     def join(self, ids: Iterable[int]) -> str:
@@ -104,29 +114,30 @@ class Codec(dict):
         out.append(pending.decode("utf-8", "replace"))
         return "".join(out)
 
-    def __missing__(self, word: str) -> tuple[bytes, str]:
+    def __missing__(self, word: str) -> bytes:
         ids = self.merge(word)
         self.unchecked.append((word, ids))
-        made = ids.tobytes(), self.join(ids)
+        made = ids.tobytes()
         if len(word) <= WORD_CHARS and len(self) < WORDS:
             self[word] = made
         return made
 
     def check(self) -> None:
-        """Compares all that was encoded since the last call with the library."""
-        asked = [(w, ids) for w, ids in self.unchecked if w != MARK]
-        theirs = self.library.encode([w[1:].replace(MARK, " ") for w, _ in asked], num_threads=1)
-        for (word, ids), their in zip(asked, theirs, strict=True):
-            if their != ids.tolist():
-                raise ValueError(f"{word[:80]!r}: the library encodes {their[:20]}, the agenda {ids.tolist()[:20]}")
+        """Compares all that was encoded since the last call with the library, and its text with the decoded ids.
+
+        A line break in front keeps the library's own word mark apart.
+        """
+        theirs = self.library.encode(["\n" + w.replace(MARK, " ") for w, _ in self.unchecked], num_threads=1)
+        for (word, ids), their in zip(self.unchecked, theirs, strict=True):
+            if their[self.line :] != ids.tolist() or self.join(ids) != word.replace(MARK, " "):
+                raise ValueError(f"{word[:80]!r}: the library encodes {their[self.line:][:20]}, the agenda {ids.tolist()[:20]}")
         self.unchecked.clear()
 
     def words(self, text: str) -> list[str]:
-        text = text.replace(" ", MARK)
-        return _WORD.findall(MARK + text) if text else []
+        return self.word.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def encode(self, text: str) -> array:
-        ids = array("I", b"".join([self[w][0] for w in self.words(text)]))
+        ids = array("I", b"".join(map(self.__getitem__, self.words(text))))
         return self.ends[0] + ids + self.ends[1]
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -134,7 +145,18 @@ class Codec(dict):
         return text.removeprefix(" ")
 
 
-_WORD = re.compile(f"{MARK}+[^{MARK}]*")
+
+def word_pattern(pieces: Iterable[str]) -> re.Pattern[str]:
+    """Marks with the letters, digits or other characters behind them; or marks alone.
+
+    Numerals that are no decimal digits, such as a raised two, are letters to
+    an expression; those in longer pieces are named as other characters here.
+    """
+    numerals = {c for p in pieces if len(p) > 1 for c in p if c.isalnum() and not (c.isalpha() or c.isdecimal())}
+    odd = "".join(sorted(numerals))
+    return re.compile(rf"{MARK}*(?:[^\W\d_{odd}]+|(?:[^{MARK}\w]|[_{odd}])+|\d+)|{MARK}+")
+
+
 _codecs: dict[bytes, Codec] = {}
 
 
@@ -180,8 +202,8 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; ids and texts stay in the task.
 
-    The same words as in ``encode``; each word's ids and decoded text are looked
-    up together and only joined here.
+    The same words as in ``encode``. The check of a batch has found each word's
+    decoded ids to be its text, so the decoded text is that of the words.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -189,9 +211,9 @@ def digests(docs: DataFrame, model: bytes) -> DataFrame:
         begin, end = (e.tobytes() for e in codec.ends)
         counts, ids_hex, text_hex = [], [], []
         for text in batch.column("text").to_pylist():
-            made = [codec[w] for w in codec.words(text)]
-            ids = b"".join([begin, *[m[0] for m in made], end])
-            decoded = "".join([m[1] for m in made]).removeprefix(" ")
+            words = codec.words(text)
+            ids = b"".join([begin, *map(codec.__getitem__, words), end])
+            decoded = "".join(words).replace(MARK, " ").removeprefix(" ")
             counts.append(len(ids) // 4)
             ids_hex.append(hashlib.sha256(ids).hexdigest())
             text_hex.append(hashlib.sha256(decoded.encode()).hexdigest())
