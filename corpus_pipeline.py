@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from massloom.llm import exact_dedup, quality_zstd, sentencepiece_codec, simhash_dedup
+from massloom.llm import decontamination, exact_dedup, quality_zstd, sentencepiece_codec, simhash_dedup
 from massloom.llm.queries import quality_model, table, tokenizer_model
 from massloom.llm.shared import Scratch
 from massloom.session import ship_package
@@ -34,6 +34,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_dedup.keep_one(docs, simhash_dedup.similar_groups(docs))
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark stay."""
+    return decontamination.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id with token ids, begin and end included, and the text they decode to."""
     ship_package(spark)
@@ -46,6 +51,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("quality classifier", quality),
     ("exact dedup", exact),
     ("SimHash near-dedup", near),
+    ("benchmark decontamination", decontaminated),
     ("SentencePiece encoding and decoding", tokens),
 ]
 

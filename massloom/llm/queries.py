@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from massloom.llm import exact_dedup, quality_zstd, sentencepiece_codec, simhash_dedup
+from massloom.llm import (
+    decontamination,
+    exact_dedup,
+    label_sharding,
+    language_id,
+    line_dedup,
+    quality_zstd,
+    sentencepiece_codec,
+    simhash_dedup,
+)
 from massloom.session import ship_package
 
 #: The merge-type vocabulary the queries use.
@@ -31,6 +40,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards 0 to 23."""
+    return label_sharding.assign_shards(table(spark, sf_dir, "documents"), 24).drop("gid")
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality_zstd.Model:
     """Learned from the labels outside the held-out third."""
     return quality_zstd.fit(docs, labels.where(quality_zstd.remainder(F.col("doc_id"), 3) != 1))
@@ -50,12 +64,41 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark passage in a document, within its edit budget."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), tokenizer_model())
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed from every document as boilerplate of many sources, with a digest of the text left."""
+    return line_dedup.drop_wide_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("text_sha256")
+    )
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality_zstd.remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op4_quality_classifier, op5_exact_dedup, op7_sentencepiece)
+    for f in (
+        op1_simhash_near_dedup,
+        op2_label_sharding,
+        op4_quality_classifier,
+        op5_exact_dedup,
+        op6_decontamination,
+        op7_sentencepiece,
+        op8_line_dedup,
+        op10_language_id,
+    )
 }
