@@ -13,8 +13,10 @@ from massloom.llm import (
     exact_dedup,
     label_sharding,
     language_id,
+    license_scan,
     line_dedup,
     quality_zstd,
+    secret_crf,
     sentencepiece_codec,
     simhash_dedup,
 )
@@ -45,6 +47,12 @@ def op2_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_sharding.assign_shards(table(spark, sf_dir, "documents"), 24).drop("gid")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return secret_crf.scan(docs, secret_crf.fit(docs))
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality_zstd.Model:
     """Learned from the labels outside the held-out third."""
     return quality_zstd.fit(docs, labels.where(quality_zstd.remainder(F.col("doc_id"), 3) != 1))
@@ -81,6 +89,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in a document, with its differences from the known wording."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -94,11 +107,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_simhash_near_dedup,
         op2_label_sharding,
+        op3_secret_scan,
         op4_quality_classifier,
         op5_exact_dedup,
         op6_decontamination,
         op7_sentencepiece,
         op8_line_dedup,
+        op9_license_scan,
         op10_language_id,
     )
 }
