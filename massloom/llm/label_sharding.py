@@ -38,6 +38,7 @@ class Quotas:
 
     cutoff: np.ndarray
     share: np.ndarray
+    granted: int
 
 
 def set_quotas(requests: list[tuple[int, int, int, int]], load: np.ndarray, capacity: np.ndarray) -> Quotas:
@@ -66,13 +67,17 @@ def set_quotas(requests: list[tuple[int, int, int, int]], load: np.ndarray, capa
             break
     cutoff = np.full((shards, shards), -1, np.int64)
     share = np.zeros((shards, shards))
+    closed: set[tuple[int, int]] = set()
     for s, t, k, c, g in sorted(zip(source, target, key, count, granted, strict=True)):
         # In the order of keys a pair's requests are granted whole, then one in part, then none.
+        if (s, t) in closed:
+            continue
         if g == c:
             cutoff[s, t] = k + 1
-        elif share[s, t] == 0 and cutoff[s, t] <= k:
+        else:
             cutoff[s, t], share[s, t] = k, g / c
-    return Quotas(cutoff, share)
+            closed.add((s, t))
+    return Quotas(cutoff, share, int(granted.sum()))
 
 
 def _of_pair(values: np.ndarray, source: Column, target: Column) -> Column:
@@ -127,7 +132,7 @@ def propagate(cells: DataFrame, capacity: np.ndarray, scratch: Scratch) -> tuple
         summed = asking.where("target is not null").groupBy("shard", "target", "key").agg(F.sum("n").alias("n"))
         requests = [tuple(r) for r in summed.collect()]
         quotas = set_quotas(requests, load, capacity)
-        if not requests or not (quotas.cutoff >= 0).any():
+        if not quotas.granted:
             if turn >= exchanges:
                 break
             exchanges = 0

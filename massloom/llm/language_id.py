@@ -25,8 +25,8 @@ from massloom.llm.shared import map_batches
 LONGEST, ROWS, WIDTH = 3, 1 << 15, 16
 #: Labelled documents per language that are learned from at most; one in FIFTH is for calibration.
 SAMPLE, FIFTH = 400, 5
-#: Passes over the sample, documents in a step, step size.
-PASSES, STEP_ROWS, RATE = 12, 16, 20.0
+#: Steps of descent, documents in a step, step size.
+STEPS, STEP_ROWS, RATE = 1200, 16, 20.0
 #: Share of accepted predictions that must be right on the rows for calibration.
 ACCEPTED_RIGHT = 0.99
 #: Characters of texts looked at together; longer texts are taken in pieces.
@@ -131,11 +131,11 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
     shares = [(at, (n / n.sum()).astype(np.float32)) for at, n in features]
     left_out = np.arange(len(shares)) % FIFTH == 0 if len(shares) >= FIFTH * len(languages) else np.zeros(len(shares), bool)
     learn = np.flatnonzero(~left_out)
-    for turn in range(PASSES):
-        rate = RATE * (1 - turn / PASSES)
+    passes = -(-STEPS * STEP_ROWS // len(learn))
+    for turn in range(passes):
+        rate = RATE * (1 - turn / passes)
+        draw.shuffle(learn)
         for k in range(0, len(learn), STEP_ROWS):
-            if k == 0:
-                draw.shuffle(learn)
             chosen = learn[k : k + STEP_ROWS]
             mean = np.stack([shares[i][1] @ table[shares[i][0]] for i in chosen])
             wrong = _softmax(mean @ layer + shift)
