@@ -6,21 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-SPECTRA_PER_FILE = 250
-
 
 @F.pandas_udf(BinaryType())
-def _pack(values, narrow, packed):
+def _pack(values, kind, packed):
     import zlib
 
     import numpy as np
     import pandas as pd
 
-    def one(array, is_narrow, is_packed):
-        raw = np.asarray(array, dtype="<f4" if is_narrow else "<f8").tobytes()
+    def one(array, number, is_packed):
+        raw = np.asarray(array).astype(number).tobytes()
         return zlib.compress(raw) if is_packed else raw
 
-    return pd.Series([one(*row) for row in zip(values, narrow, packed, strict=True)], dtype=object)
+    return pd.Series([one(*row) for row in zip(values, kind, packed, strict=True)], dtype=object)
 
 
 def _attribute(text: Column) -> Column:
@@ -39,25 +37,33 @@ def _params(cv: Column) -> Column:
     return F.array_join(F.transform(cv, _param), "")
 
 
-def _data(values: str, kind: str, narrow: Column, packed: Column) -> Column:
-    precision = F.when(narrow, F.lit("MS:1000521")).otherwise(F.lit("MS:1000523"))
+# Terms of the number types.
+_TERMS = {"<f4": "MS:1000521", "<f8": "MS:1000523", "<i4": "MS:1000519", "<i8": "MS:1000522"}
+
+
+def _data(values: str, kind: str, number: Column, packed: Column) -> Column:
+    precision = F.create_map(*[F.lit(x) for pair in _TERMS.items() for x in pair])[number]
     encoding = F.when(packed, F.lit("MS:1000574")).otherwise(F.lit("MS:1000576"))
     return F.concat(
         F.lit("<binaryDataArray>"),
         *[F.concat(F.lit('<cvParam accession="'), a, F.lit('" name="array" value=""/>')) for a in (precision, encoding, F.lit(kind))],
         F.lit("<binary>"),
-        F.base64(_pack(F.col(values), narrow, packed)),
+        F.base64(_pack(F.col(values), number, packed)),
         F.lit("</binary></binaryDataArray>"),
     )
 
 
-def write_mzml(spectra: DataFrame, path: str) -> None:
-    """Folders ``run=<name>`` with one run each, cut so that none grows large.
+def write_mzml(spectra: DataFrame, path: str, integers: bool = False) -> None:
+    """Folders ``run=<name>`` with one whole run each.
 
     Even scans are 64-bit and plain, odd ones deflated with 64-bit m/z and
-    32-bit intensities.
+    32-bit intensities. With ``integers`` every fifth scan has its m/z cut to
+    32-bit or 64-bit integers.
     """
     odd = F.col("scan_seq") % 2 == 1
+    whole = F.lit(integers) & (F.col("scan_seq") % 5 == 3)
+    mz_kind = F.when(whole & odd, F.lit("<i4")).when(whole, F.lit("<i8")).otherwise(F.lit("<f8"))
+    intensity_kind = F.when(odd, F.lit("<f4")).otherwise(F.lit("<f8"))
     spectrum = F.concat(
         F.format_string('<spectrum index="%d" id="controller=0 scan=%d" defaultArrayLength="%d">', "scan_seq", "scan_number", F.size("mz")),
         _params(F.col("cv")),
@@ -84,12 +90,11 @@ def write_mzml(spectra: DataFrame, path: str) -> None:
             ),
         ).otherwise(F.lit("")),
         F.lit("<binaryDataArrayList>"),
-        _data("mz", "MS:1000514", F.lit(False), odd),
-        _data("intensity", "MS:1000515", odd, odd),
+        _data("mz", "MS:1000514", mz_kind, odd),
+        _data("intensity", "MS:1000515", intensity_kind, odd),
         F.lit("</binaryDataArrayList></spectrum>"),
     )
-    run = F.concat_ws("_", F.col("basename"), F.floor(F.col("scan_seq") / SPECTRA_PER_FILE).cast("string"))
-    body = spectra.select(run.alias("run"), F.col("scan_seq").alias("at"), spectrum.alias("line"))
+    body = spectra.select(F.col("basename").alias("run"), F.col("scan_seq").alias("at"), spectrum.alias("line"))
     runs = body.select("run").distinct()
     head = F.concat(
         F.lit('<?xml version="1.0" encoding="utf-8"?><mzML xmlns="http://psi.hupo.org/ms/mzml" version="1.1.0" id="'),

@@ -65,8 +65,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     ),
     "v_listing": (
         ["v_raw_listing"],
-        """SELECT repository_id, root_path, path, bool_or(is_dir) AS is_dir, max(size_bytes) AS size_bytes
- FROM v_raw_listing GROUP BY ALL""",
+        """SELECT repository_id, min(rtrim(root_path, '/')) AS root_path, path, bool_or(is_dir) AS is_dir,
+ max(size_bytes) AS size_bytes FROM v_raw_listing GROUP BY repository_id, path""",
     ),
     "v_dirs": (
         ["v_listing"],
@@ -513,7 +513,7 @@ def _metrics() -> str:
 
 
 def _mzml_run_metadata() -> str:
-    run = "basename || '_' || (scan_number // 250)"
+    run = "basename"
     runs = f"SELECT DISTINCT {run} AS basename FROM v_spectra"
     header = [
         ("'info:id'", "'id'", "basename", "'file_metadata'"),
@@ -717,13 +717,59 @@ ORACLE: dict[str, str] = {
     "dataset_metrics": _metrics(),
     "mzml_scan": _sql(
         ["v_spectra"],
-        """SELECT basename || '_' || (scan_number // 250) AS basename, scan_number AS scan_seq, scan_number, ms_level,
+        """SELECT basename, scan_number AS scan_seq, scan_number, ms_level,
  round(scan_number * 0.125::DOUBLE, 4) AS scan_time_min, len(mz)::INTEGER AS peaks,
  round(coalesce(list_min(mz), 0), 5) AS min_mz, round(coalesce(list_max(mz), 0), 5) AS max_mz,
+ round(coalesce(list_sum(mz), 0), 3) AS sum_mz, len(mz)::INTEGER AS intensities,
  (CASE WHEN ms_level = 1 THEN 14 WHEN scan_number % 3 = 0 THEN 24 ELSE 19 END)::INTEGER AS n_params,
- (CASE WHEN ms_level = 1 THEN 0 WHEN scan_number % 3 = 0 THEN 2 ELSE 1 END)::INTEGER AS n_precursors FROM v_spectra""",
+ (CASE WHEN ms_level = 1 THEN 0 WHEN scan_number % 3 = 0 THEN 2 ELSE 1 END)::INTEGER AS n_precursors
+ FROM (SELECT * REPLACE (CASE WHEN scan_number % 5 = 3 THEN list_transform(mz, lambda x: floor(x)) ELSE mz END AS mz)
+ FROM v_spectra)""",
     ),
     "mzml_run_metadata": _mzml_run_metadata(),
-    "stream_ingest": _sql(["v_replicates"], "SELECT * EXCLUDE (accession) FROM v_replicates"),
+    "stream_ingest": _sql(["v_replicates"], "SELECT * FROM v_replicates"),
+    "annotations_mixed_headers": _sql(
+        ["v_replicates"], "SELECT * EXCLUDE (accession) FROM v_replicates WHERE ascii(right(id, 1)) % 4 <> 3"
+    ),
+    "annotations_header_faults": "SELECT 'missing_column' AS check, 'material' AS column, 3 AS n_files",
+    "sink_split_files": _sql(
+        ["v_packed", "v_replicates"],
+        """SELECT id, organism, printf('%s_%03d', accession, split_id) AS split
+ FROM v_packed JOIN v_ordered USING (accession, rn) JOIN v_replicates USING (accession, id)""",
+    ),
+    "stream_replace": _sql(
+        ["v_replicates"],
+        """SELECT t.* EXCLUDE (s, kind) REPLACE (CASE WHEN kind = 'A' AND s % 3 = 0 THEN 'fixed' ELSE condition END AS condition),
+ way FROM (
+ SELECT *, substr(accession, 3)::INTEGER AS s, 'A' AS kind FROM v_replicates UNION ALL
+ SELECT * REPLACE ('B_' || accession AS accession), substr(accession, 3)::INTEGER, 'B' FROM v_replicates
+ WHERE substr(accession, 3)::INTEGER % 2 = 1) t, (VALUES ('one by one'), ('at once')) AS ways(way)""",
+    ),
+    "stream_runs": _sql(["v_spectra"], "SELECT basename, scan_number, ms_level, len(mz)::INTEGER AS peaks FROM v_spectra"),
+    "sink_runs": _sql(
+        ["v_scans"],
+        """SELECT basename, event_id AS scan_seq, scan_number, CASE WHEN basename LIKE '%1%' THEN 9 ELSE ms_level END AS ms_level
+ FROM v_scans""",
+    ),
+    "sink_append_new": _sql(
+        ["v_scans"],
+        "SELECT basename, event_id AS scan_seq, CASE WHEN basename LIKE '%1%' THEN ms_level ELSE 9 END AS ms_level FROM v_scans",
+    ),
+    "sink_partitioned": _sql(
+        ["v_replicates"],
+        """SELECT * REPLACE (CASE WHEN substr(accession, 3)::INTEGER % 3 = 0 THEN 'fixed' ELSE condition END AS condition)
+ FROM v_replicates""",
+    ),
+    "worklist_faults": _sql(
+        ["v_replicates", "v_files", "v_repositories"],
+        """SELECT 'file' AS lookup, id AS key, n AS n_rows FROM (
+ SELECT DISTINCT CASE WHEN right(sample_group, 1) = '7' THEN id || '_absent' ELSE id END AS id FROM v_replicates) w
+ LEFT JOIN (SELECT id, sum(CASE WHEN right(id, 2) = '_5' THEN 2 ELSE 1 END)::BIGINT AS m FROM v_files GROUP BY id) f USING (id),
+ LATERAL (SELECT coalesce(m, 0) AS n) WHERE n <> 1
+ UNION ALL
+ SELECT 'repository', repository_id, CASE k % 6 WHEN 1 THEN 0 ELSE 2 END FROM (
+ SELECT DISTINCT repository_id, substr(repository_id, 3)::INTEGER AS k FROM v_files JOIN (
+ SELECT id FROM v_replicates WHERE right(sample_group, 1) <> '7') USING (id)) WHERE k % 6 IN (1, 2)""",
+    ),
     "csv_ingest": _sql(["v_repositories"], "SELECT * FROM v_repositories"),
 }

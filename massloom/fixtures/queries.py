@@ -17,9 +17,10 @@ from massloom.operators.filters import apply_filters
 from massloom.plans import breakdown, intensity, repositories, replicates, run_metadata, scan_metadata
 from massloom.session import durable, scratch_path
 from massloom.sinks import sql_dump
+from massloom.sinks import tables as sinks
 from massloom.sinks.tables import not_yet_done
 from massloom.sources import mzml
-from massloom.sources.tables import read_csv, read_table, replicate_ids, union_relaxed
+from massloom.sources.tables import read_by_source, read_csv, read_table, replicate_ids, union_relaxed
 from massloom.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +136,18 @@ def worklist_status(spark, sf):
     )
 
 
+def worklist_faults(spark, sf):
+    """Replicates without a file or with two, repositories missing or listed twice."""
+    files = v.stored_files(spark, sf)
+    named = v.replicates(spark, sf, files)
+    lost = F.endswith(F.col("sample_group"), F.lit("7"))
+    gaps = named.withColumn("id", F.when(lost, F.concat("id", F.lit("_absent"))).otherwise(F.col("id")))
+    double = files.unionAll(files.where(F.endswith(F.col("id"), F.lit("_5"))))
+    key = F.substring("id", 3, 9).cast("int")
+    sites = v.repositories(spark, sf).where(key % 6 != 1)
+    return replicates.worklist_faults(gaps, double, sites.unionAll(sites.where(key % 6 == 2)))
+
+
 # Filters and unions
 
 FILTERS = {"organism": ["human", "mouse", "yeast"], "source_type": "BUILDING", "no_such_column": 1}
@@ -165,7 +178,7 @@ def incremental_new_files(spark, sf):
 
 def _splits(spark, sf, mode="balanced"):
     files = v.stored_files(spark, sf)
-    return replicates.batch_splits(v.replicates(spark, sf, files), files, mode=mode, on_missing="skip")
+    return replicates.batch_splits(v.replicates(spark, sf, files), files, mode=mode)
 
 
 def batch_splits(spark, sf):
@@ -326,7 +339,7 @@ def stored_files(spark, sf):
 
 def mzml_scan(spark, sf):
     path = scratch_path(spark, "mzml")
-    mzml_files.write_mzml(v.spectra(spark, sf), path)
+    mzml_files.write_mzml(v.spectra(spark, sf), path, integers=True)
     spectra = mzml.read_spectra(spark, path, basename=F.regexp_extract("_metadata.file_path", "run=([^/]*)/", 1))
     return spectra.select(
         "basename",
@@ -337,6 +350,8 @@ def mzml_scan(spark, sf):
         F.size("mz").alias("peaks"),
         F.round(F.coalesce(F.array_min("mz"), F.lit(0.0)), 5).alias("min_mz"),
         F.round(F.coalesce(F.array_max("mz"), F.lit(0.0)), 5).alias("max_mz"),
+        F.round(F.aggregate("mz", F.lit(0.0), lambda a, x: a + x), 3).alias("sum_mz"),
+        F.size("intensity").alias("intensities"),
         F.size("cv").alias("n_params"),
         F.size("precursors").alias("n_precursors"),
     )
@@ -351,23 +366,127 @@ def mzml_run_metadata(spark, sf):
     return run_metadata.run_metadata(heads, mzml.read_spectra(spark, path, basename=run), v.terms(spark, sf))
 
 
-def _written_annotations(spark, sf, base):
-    """Annotations as one CSV folder per half, for the two calls of the stream."""
-    rows = v.replicates(spark, sf).drop("accession")
-    for half in (0, 1):
-        part = rows.where(F.length("id") % 2 == half)
-        part.write.mode("append").csv(f"{base}/{half}", header=True)
+def annotations_mixed_headers(spark, sf):
+    """Annotations from files in three orders of columns, one with a column more; all by their own header."""
+    return read_by_source(spark, _mixed_headers(spark, sf), contracts.REPLICATES)[0].drop("accession")
+
+
+def annotations_header_faults(spark, sf):
+    """What the same files lack, by check and column, with the number of files."""
+    rows, heads = read_by_source(spark, _mixed_headers(spark, sf), contracts.REPLICATES)
+    report = replicates.ingest(rows, per="accession", heads=heads)[1]
+    return report.where(F.col("n_bad") > 0).groupBy("check", "column").agg(F.sum("n_bad").alias("n_files"))
+
+
+def _mixed_headers(spark, sf):
+    path = scratch_path(spark, "headers")
+    names_ = contracts.REPLICATES.names
+    rows = v.replicates(spark, sf).withColumn("extra", F.length("id"))
+    orders = [names_, names_[::-1], ["material", "extra", *[n for n in names_ if n != "material"]], [n for n in names_ if n != "material"]]
+    for k, columns in enumerate(orders):
+        part = rows.where(F.ascii(F.right("id", F.lit(1))) % 4 == k).select(*columns)
+        part.repartition(3, "id").write.mode("append").csv(path, header=True)
+    return path
+
+
+def _written_by_accession(spark, rows, path):
+    """A CSV file for each accession, named after it."""
+    rows.repartition("accession").write.partitionBy("accession").csv(path, header=True)
+    fs = spark._jvm.org.apache.hadoop.fs
+    folder = fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in system.globStatus(fs.Path(f"{path}/accession=*/part-*")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        system.rename(part.getPath(), fs.Path(f"{path}/{name}.csv"))
+
+
+def stream_replace(spark, sf):
+    """Annotations of two accessions with the same ids, and corrected files, in two arrivals and at once.
+
+    The result must not depend on which files arrive together.
+    """
+    base = scratch_path(spark, "stream")
+    key = F.substring("accession", 3, 9).cast("int")
+    rows = durable(v.replicates(spark, sf), "annotations")
+    twice = rows.where(key % 2 == 1).withColumn("accession", F.concat(F.lit("B_"), F.col("accession")))
+    fixed = rows.where(key % 3 == 0).withColumn("condition", F.lit("fixed"))
+
+    def take_in(at):
+        streaming.ingest_replicates(spark, f"{base}/in/*", at, f"{at}-report", f"{at}-offsets").awaitTermination()
+        return read_table(spark, at, contracts.REPLICATES, by="accession")
+
+    for number, arrived in enumerate((rows.unionByName(twice), fixed)):
+        _written_by_accession(spark, arrived, f"{base}/in/{number}")
+        one_by_one = take_in(f"{base}/first")
+    at_once = take_in(f"{base}/second")
+    return one_by_one.withColumn("way", F.lit("one by one")).unionByName(at_once.withColumn("way", F.lit("at once")))
 
 
 def stream_ingest(spark, sf):
-    """Two arrivals of annotation files, three calls of the stream."""
+    """Annotation files in two arrivals, three calls of the stream."""
     base = scratch_path(spark, "stream")
-    _written_annotations(spark, sf, base)
+    rows = durable(v.replicates(spark, sf), "annotations")
+    for half in (0, 1):
+        _written_by_accession(spark, rows.where(F.substring("accession", 3, 9).cast("int") % 2 == half), f"{base}/{half}")
     for arrived in ("0", "0", "{0,1}"):
         streaming.ingest_replicates(
             spark, f"{base}/{arrived}", f"{base}/table", f"{base}/report", f"{base}/offsets"
         ).awaitTermination()
-    return read_table(spark, f"{base}/table", contracts.REPLICATES)
+    return read_table(spark, f"{base}/table", contracts.REPLICATES, by="accession")
+
+
+def stream_runs(spark, sf):
+    """mzML runs in two calls of the stream: peaks of every spectrum."""
+    base = scratch_path(spark, "runs")
+    mzml_files.write_mzml(v.spectra(spark, sf), f"{base}/in")
+    name = lambda path: path.getParent().getName().split("=", 1)[1]
+    fs = spark._jvm.org.apache.hadoop.fs
+    system = fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(fs.Path(f"{base}/in/run=*/part-*"))
+    for half in (0, 1):
+        for k, part in enumerate(found):
+            if k % 2 == half:
+                system.mkdirs(fs.Path(f"{base}/arrived"))
+                system.rename(part.getPath(), fs.Path(f"{base}/arrived/{name(part.getPath())}.mzML"))
+        streaming.ingest_runs(spark, f"{base}/arrived", f"{base}/table", f"{base}/offsets").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select("basename", "scan_number", "ms_level", F.size("mz").alias("peaks"))
+
+
+# Sinks, written twice and read back
+
+def sink_runs(spark, sf):
+    """A run table written run by run: those of the second call replace theirs and leave the others."""
+    path = scratch_path(spark, "run-table")
+    scans = v.scans(spark, sf).select("basename", "scan_seq", "scan_number", "ms_level")
+    sinks.write_runs(scans, path)
+    sinks.write_runs(scans.where(F.col("basename").like("%1%")).withColumn("ms_level", F.lit(9)), path)
+    return spark.read.parquet(path).select("basename", "scan_seq", "scan_number", "ms_level")
+
+
+def sink_append_new(spark, sf):
+    """Only runs the table does not hold yet are added."""
+    path = scratch_path(spark, "run-table")
+    scans = v.scans(spark, sf).select("basename", "scan_seq", "ms_level")
+    sinks.append_new(scans.where(F.col("basename").like("%1%")), path, "basename", ["scan_seq"])
+    sinks.append_new(scans.withColumn("ms_level", F.lit(9)), path, "basename", ["scan_seq"])
+    return spark.read.parquet(path).select("basename", "scan_seq", "ms_level")
+
+
+def sink_partitioned(spark, sf):
+    """Replicates by accession; the second write replaces a third of the accessions."""
+    path = scratch_path(spark, "replicates")
+    rows = durable(v.replicates(spark, sf), "annotations")
+    sinks.write_partitioned(rows, path, "accession", ["id"])
+    part = rows.where(F.substring("accession", 3, 9).cast("int") % 3 == 0)
+    sinks.write_partitioned(part.withColumn("condition", F.lit("fixed")), path, "accession", ["id"])
+    return read_table(spark, path, contracts.REPLICATES, by="accession")
+
+
+def sink_split_files(spark, sf):
+    """Batches as CSV, a folder for each, read back with the folder's name."""
+    path = scratch_path(spark, "splits")
+    sinks.write_splits(_splits(spark, sf).select("accession", "split_id", "id", "organism"), path)
+    return spark.read.option("header", True).schema("id string, organism string, split string").csv(path)
 
 
 def csv_ingest(spark, sf):
@@ -395,5 +514,7 @@ QUERIES: dict[str, Query] = {
         intensity_histogram, intensity_histogram_wide, intensity_quantiles,
         column_profile, dataset_metrics, table_manifest, stored_files,
         mzml_scan, mzml_run_metadata, stream_ingest, csv_ingest,
+        annotations_mixed_headers, annotations_header_faults, stream_replace, stream_runs, worklist_faults,
+        sink_runs, sink_append_new, sink_partitioned, sink_split_files,
     )
 }

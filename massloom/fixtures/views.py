@@ -88,7 +88,9 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("is_dir"),
         F.lit(None).cast("bigint").alias("size_bytes"),
     )
-    return listed.unionAll(folders)
+    # A second crawl spelled its root with a slash at the end.
+    again = listed.where(F.col("path").rlike("_[05]\\.")).withColumn("root_path", F.concat("root_path", F.lit("/")))
+    return listed.unionAll(again).unionAll(folders)
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,16 +18,22 @@ def _root(root_path: Column) -> Column:
 
 
 def unique_listing(listing: DataFrame) -> DataFrame:
-    """One row per path, so that a repeated crawl does not count twice.
+    """One row per repository and path, so that a repeated crawl does not count twice.
 
-    ``in_bundle``: the path lies below a ``.d`` directory. Only names below
-    the scan root count.
+    ``root_path`` comes without a slash at its end; of several roots that list
+    one path the shortest is kept. ``in_bundle``: the path lies below a ``.d``
+    directory. Only names below the scan root count.
     """
-    relative = F.substring(F.col("path"), F.length(_root(F.col("root_path"))) + 2, F.length("path"))
-    return listing.groupBy("repository_id", "root_path", "path").agg(
-        F.bool_or("is_dir").alias("is_dir"),
-        F.max("size_bytes").alias("size_bytes"),
-        F.bool_or(F.contains(F.lower(relative), F.lit(".d/"))).alias("in_bundle"),
+    root = _root(F.col("root_path"))
+    relative = F.substring(F.col("path"), F.length("root_path") + 2, F.length("path"))
+    return (
+        listing.groupBy("repository_id", "path")
+        .agg(
+            F.min(F.struct(F.length(root).alias("n"), root.alias("root_path"))).getField("root_path").alias("root_path"),
+            F.bool_or("is_dir").alias("is_dir"),
+            F.max("size_bytes").alias("size_bytes"),
+        )
+        .withColumn("in_bundle", F.contains(F.lower(relative), F.lit(".d/")))
     )
 
 

@@ -101,13 +101,39 @@ def lookup_counts(wanted: DataFrame, table: DataFrame, key: str) -> DataFrame:
     )
 
 
+def file_faults(rows: DataFrame, heads: DataFrame, source: str) -> DataFrame:
+    """Report lines of files that lack columns, and of complete ones without a row."""
+    absent = heads.select(source, F.explode("missing").alias("column")).select(
+        source, F.lit("missing_column").alias("check"), "column", F.lit(1).cast("bigint").alias("n_bad"), F.lit(None).cast("string").alias("sample")
+    )
+    bare = heads.where(F.size("missing") == 0).join(rows.select(source), source, "left_anti")
+    return absent.unionByName(
+        bare.select(
+            source, F.lit("no_rows").alias("check"), F.lit("*").alias("column"), F.lit(1).cast("bigint").alias("n_bad"), F.lit(None).cast("string").alias("sample")
+        )
+    )
+
+
 def strict(report: DataFrame) -> None:
-    """Raise if any check failed. The report has a few rows per column."""
-    failed = report.where(F.col("n_bad") > 0).collect()
+    """Raise if any check failed.
+
+    The message has one entry per check and column, with the total and one
+    example, however many inputs the report covers.
+    """
+    example = F.struct(*[F.col(c) for c in report.columns if c not in ("check", "column", "n_bad")])
+    failed = (
+        report.where(F.col("n_bad") > 0)
+        .groupBy("check", "column")
+        .agg(F.sum("n_bad").alias("n_bad"), F.min(example).alias("example"))
+        .orderBy("check", "column")
+        .collect()
+    )
     if failed:
         raise QualityError(
             "; ".join(
-                f"{r['check']}({r['column']}): {r['n_bad']}" + (f", e.g. {r['sample']}" if r["sample"] else "")
+                f"{r['check']}({r['column']}): {r['n_bad']}"
+                + "".join(f", {k} {v}" for k, v in [*reversed(r["example"].asDict().items())] if v is not None and k != "sample")
+                + (f", e.g. {r['example']['sample']}" if r["example"]["sample"] else "")
                 for r in failed
             )
         )

@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 from massloom.contracts import REPLICATES
 from massloom.functions import names
 from massloom.operators import packing, quality
+from massloom.operators.inventory import unique_listing
 from massloom.sinks.tables import split_label
-from massloom.sources.tables import read_annotations, sized_samples
+from massloom.sources.tables import read_by_source, sized_samples
 
 
-def ingest(raw: DataFrame, per: str | None = None) -> tuple[DataFrame, DataFrame]:
+def ingest(raw: DataFrame, per: str | None = None, heads: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The ``replicates`` table (with ``accession`` if given) and its check report.
 
     With ``per`` (a column with the input file) faults stay with their file:
-    the table holds the rows of the files without any.
+    the table holds the rows of the files without any. ``heads`` (per, missing)
+    tells which columns a file lacks and which files there are.
     """
     report = quality.check_table(raw, REPLICATES, whole_rows=False, per=per)
     if quality.missing_columns(raw, REPLICATES):
         quality.strict(report)
+    if heads is not None:
+        report = report.unionByName(quality.file_faults(raw, heads, per))
     good = quality.passing(raw, report, per) if per else raw
     extra = [F.col("accession")] if "accession" in raw.columns else []
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in REPLICATES.fields]
@@ -29,7 +33,8 @@ def ingest(raw: DataFrame, per: str | None = None) -> tuple[DataFrame, DataFrame
 
 def load_annotations(spark: SparkSession, csv_path: str | list[str]) -> DataFrame:
     """The rows of all files, or ``QualityError`` naming every check that failed."""
-    table, report = ingest(read_annotations(spark, csv_path), per="accession")
+    rows, heads = read_by_source(spark, csv_path, REPLICATES)
+    table, report = ingest(rows, per="accession", heads=heads)
     quality.strict(report)
     return table
 
@@ -68,14 +73,44 @@ def split_totals(splits: DataFrame, accession: str = "accession") -> DataFrame:
     )
 
 
-def worklist(replicates: DataFrame, files: DataFrame, repositories: DataFrame, listing: DataFrame) -> DataFrame:
+def worklist_faults(replicates: DataFrame, files: DataFrame, repositories: DataFrame) -> DataFrame:
+    """What keeps replicates from being fetched: lookup ("file" or "repository"), key, n_rows.
+
+    A replicate must match exactly one file by id, and the file's repository
+    exactly one repository.
+    """
+    found = files.where(F.col("id").isNotNull())
+    wanted = replicates.where(F.col("id").isNotNull()).select("id")
+    sites = found.join(wanted, "id", "left_semi").select(F.col("repository_id").alias("id"))
+    lost = [
+        quality.lookup_counts(keys, table.where(F.col("id").isNotNull()), "id").select(
+            F.lit(lookup).alias("lookup"), F.col("id").alias("key"), "n_rows"
+        )
+        for lookup, keys, table in (("file", wanted, found), ("repository", sites, repositories))
+    ]
+    return lost[0].unionByName(lost[1])
+
+
+def worklist(
+    replicates: DataFrame, files: DataFrame, repositories: DataFrame, listing: DataFrame, on_missing: str = "fail"
+) -> DataFrame:
     """What to fetch, one row per remote file, for all replicates at once.
 
     A ``.d`` folder yields every file below it, a ``.wiff`` its ``.wiff.scan``
     as well. Each listed file belongs to at most one sample path, so one join
-    finds them all. No broadcast is forced: the optimizer broadcasts a side
-    whose size it has checked, and adaptive skew joins split a hot repository.
+    finds them all. Every replicate must match one file and one repository;
+    with ``on_missing`` "skip" those that do not keep a row with what is known.
+    No broadcast is forced: the optimizer broadcasts a side whose size it has
+    checked, and adaptive skew joins split a hot repository.
     """
+    if on_missing == "fail":
+        faults = worklist_faults(replicates, files, repositories)
+        first = faults.agg(F.count("*").alias("n"), F.min(F.struct("lookup", "key", "n_rows")).alias("of")).first()
+        if first["n"]:
+            of = first["of"]
+            raise quality.QualityError(
+                f"{first['n']} keys not found exactly once, e.g. {of['lookup']} {of['key']}: {of['n_rows']}"
+            )
     address = names.ftp_parts(F.col("url"))
     sites = repositories.select(
         F.col("id").alias("repository_id"),
@@ -84,18 +119,16 @@ def worklist(replicates: DataFrame, files: DataFrame, repositories: DataFrame, l
     samples = (
         replicates.select("id")
         .where(F.col("id").isNotNull())
-        .join(files.select("id", "repository_id", F.col("remote_path").alias("sample_path")), "id")
+        .join(files.select("id", "repository_id", F.col("remote_path").alias("sample_path")), "id", "left")
     )
     # The outermost .d folder below the root, or the .wiff a scan belongs to.
-    root = F.rtrim("root_path", F.lit("/"))
-    relative = F.substring(F.col("path"), F.length(root) + 1, F.length("path"))
-    folder = F.concat(root, F.nullif(F.regexp_extract(relative, r"(?i)^(.*?\.d)/", 1), F.lit("")))
+    relative = F.substring(F.col("path"), F.length("root_path") + 1, F.length("path"))
+    folder = F.concat("root_path", F.nullif(F.regexp_extract(relative, r"(?i)^(.*?\.d)/", 1), F.lit("")))
     without_scan = F.expr("left(path, length(path) - 5)")
     scan = F.endswith(F.col("path"), F.lit(".scan")) & F.endswith(F.lower(without_scan), F.lit(".wiff"))
     parts = (
-        listing.where(~F.col("is_dir"))
-        .groupBy("repository_id", "root_path", "path")
-        .agg(F.max("size_bytes").alias("size_bytes"))
+        unique_listing(listing)
+        .where(~F.col("is_dir"))
         .select(
             "repository_id",
             F.coalesce(folder, F.when(scan, without_scan), F.col("path")).alias("sample_path"),
@@ -113,7 +146,7 @@ def worklist(replicates: DataFrame, files: DataFrame, repositories: DataFrame, l
     )
     return (
         samples.join(parts, ["repository_id", "sample_path"], "left")
-        .join(sites, "repository_id")
+        .join(sites, "repository_id", "left")
         .select(
             F.col("id").alias("sample_id"),
             "repository_id",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,17 +73,48 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new place in the shared folder; ``job_scope`` removes it at its end."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def job_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables made inside it, when its results have been written or collected."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and keeps column pruning, which
-    a row-wise RDD checkpoint would give up.
+    a row-wise RDD checkpoint would give up. ``forget`` or the ``job_scope``
+    around it removes the table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch_path = path
+    return back
+
+
+def forget(table: DataFrame) -> None:
+    """Removes a table that ``durable`` returned and nothing reads any more."""
+    remove(table.sparkSession, table._scratch_path)

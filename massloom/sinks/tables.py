@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from massloom.functions.numbers import zero_padded
+from massloom.session import durable, forget
 
 
 def write_repositories(df: DataFrame, path: str) -> None:
@@ -15,40 +17,59 @@ def write_repositories(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str) -> None:
-    """Replaces just the partitions that ``df`` holds."""
+def write_partitioned(df: DataFrame, path: str, by: str, order: Sequence[str] = ()) -> None:
+    """Replaces just the partitions that ``df`` holds.
+
+    The rows are range-partitioned on ``by`` and ``order`` first, so that a
+    value has a file or two, and a very large one is still written by many
+    tasks. They are written aside before, since range borders are sampled.
+    """
+    keys = [by, *order]
+    aside = durable(df, "partitioned")
     (
-        df.write.mode("overwrite")
+        aside.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(by)
         .parquet(path)
     )
+    forget(aside)
+
+
+def write_runs(df: DataFrame, path: str, order: Sequence[str] = ("scan_number",), by: str = "basename") -> None:
+    """zstd Parquet with a partition per run, sorted inside; other runs of the table are left alone."""
+    write_partitioned(df, path, by, order)
 
 
-def write_runs(df: DataFrame, path: str, order: Sequence[str] = ("basename", "scan_number")) -> None:
-    """zstd Parquet, sorted by run.
+def append_new(df: DataFrame, path: str, by: str, order: Sequence[str] = ()) -> None:
+    """Writes the values of ``by`` that the table does not hold yet; those it holds stay as they are.
 
-    Range partitions keep a run together without sending a very large one to a
-    single task.
+    Values are partitions, so what is stored is known without reading a row.
     """
-    (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    try:
+        stored = spark.read.parquet(path).select(by).distinct()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        df = not_yet_done(df, stored.select(F.col(by).cast(df.schema[by].dataType).alias(by)), by)
+    write_partitioned(df, path, by, order)
 
 
 def write_csv_by(df: DataFrame, path: str, by: Sequence[str], order: Sequence[str]) -> None:
     """CSV with header, one folder per value of ``by``, rows in ``order``."""
+    aside = durable(df, "csv")
     (
-        df.repartitionByRange(*by, *order)
+        aside.repartitionByRange(*by, *order)
         .sortWithinPartitions(*by, *order)
         .write.mode("overwrite")
         .partitionBy(*by)
         .csv(path, header=True)
     )
+    forget(aside)
 
 
 def split_label(accession: str = "accession", split: str = "split_id"):

@@ -24,7 +24,7 @@ from massloom.functions.numbers import to_number
 _PARAM = "struct<_accession:string,_name:string,_value:string,_unitName:string>"
 _PARAMS = f"cvParam:array<{_PARAM}>"
 _SPECTRUM = (
-    "_index string, _id string, "
+    "_index string, _id string, _defaultArrayLength string, "
     f"cvParam array<{_PARAM}>, "
     f"scanList struct<{_PARAMS},scan:array<struct<{_PARAMS},"
     f"scanWindowList:struct<scanWindow:array<struct<{_PARAMS}>>>>>>, "
@@ -33,7 +33,7 @@ _SPECTRUM = (
     f"selectedIonList:struct<selectedIon:array<struct<{_PARAMS}>>>,"
     f"activation:struct<{_PARAMS}>>>>, "
     f"productList struct<product:array<struct<isolationWindow:struct<{_PARAMS}>>>>, "
-    f"binaryDataArrayList struct<binaryDataArray:array<struct<{_PARAMS},binary:string>>>"
+    f"binaryDataArrayList struct<binaryDataArray:array<struct<{_PARAMS},_arrayLength:string,binary:string>>>"
 )
 
 
@@ -62,17 +62,34 @@ def _precursor_params(p: Column) -> Column:
     )
 
 
+# Number types and compressions of binary arrays. Others are refused.
+_NUMBERS = {"MS:1000519": "<i4", "MS:1000521": "<f4", "MS:1000522": "<i8", "MS:1000523": "<f8"}
+_PLAIN, _ZLIB = "MS:1000576", "MS:1000574"
+_PACKINGS = {
+    _PLAIN, _ZLIB, "MS:1002312", "MS:1002313", "MS:1002314", "MS:1002746", "MS:1002747", "MS:1002748",
+    "MS:1003088", "MS:1003089", "MS:1003090",
+}
+_OTHER_NUMBERS = {"MS:1000520", "MS:1001479"}
+
+
 @F.pandas_udf(ArrayType(DoubleType()))
-def _unpack(data: pd.Series, is_float32: pd.Series, is_zlib: pd.Series) -> pd.Series:
-    """Little-endian floats, maybe deflated, to doubles."""
+def _unpack(data: pd.Series, marks: pd.Series, length: pd.Series) -> pd.Series:
+    """Little-endian numbers, maybe deflated, to doubles; what is marked otherwise is an error."""
 
-    def one(raw: bytes | None, narrow: bool, packed: bool) -> np.ndarray | None:
+    def one(raw: bytes | None, terms_of: list[str], expected: float | None) -> np.ndarray | None:
         if raw is None:
             return None
-        plain = zlib.decompress(raw) if packed else raw
-        return np.frombuffer(plain, dtype="<f4" if narrow else "<f8").astype("float64")
+        kinds = [m for m in terms_of if m in _NUMBERS or m in _OTHER_NUMBERS]
+        packings = [m for m in terms_of if m in _PACKINGS]
+        if len(kinds) != 1 or kinds[0] not in _NUMBERS or len(packings) > 1 or packings not in ([], [_PLAIN], [_ZLIB]):
+            raise ValueError(f"binary array marked {', '.join(terms_of)}: number type or compression not supported")
+        plain = zlib.decompress(raw) if packings == [_ZLIB] and raw else raw
+        values = np.frombuffer(plain, dtype=_NUMBERS[kinds[0]]).astype("float64")
+        if expected is not None and not pd.isna(expected) and len(values) != expected:
+            raise ValueError(f"binary array of {len(values)} values where {int(expected)} are announced")
+        return values
 
-    return pd.Series([one(*row) for row in zip(data, is_float32, is_zlib, strict=True)], dtype=object)
+    return pd.Series([one(*row) for row in zip(data, marks, length, strict=True)], dtype=object)
 
 
 def _array_of(kind: str) -> Column:
@@ -82,12 +99,9 @@ def _array_of(kind: str) -> Column:
     chosen = F.try_element_at(
         F.filter("arrays", lambda a: terms.has_term(_params(a["cvParam"]), kind)), F.lit(1)
     )
-    params = _params(chosen["cvParam"])
-    return _unpack(
-        F.unbase64(F.regexp_replace(chosen["binary"], r"\s+", "")),
-        terms.has_term(params, terms.TERMS["float32"]),
-        terms.has_term(params, terms.TERMS["zlib"]),
-    )
+    marks = F.transform(_params(chosen["cvParam"]), lambda p: p["accession"])
+    length = F.coalesce(chosen["_arrayLength"], F.col("announced")).try_cast("bigint")
+    return _unpack(F.unbase64(F.regexp_replace(chosen["binary"], r"\s+", "")), marks, length)
 
 
 def read_spectra(spark: SparkSession, path: str | list[str], basename: Column | None = None) -> DataFrame:
@@ -120,6 +134,7 @@ def read_spectra(spark: SparkSession, path: str | list[str], basename: Column |
         ).alias("scan_number"),
         F.col("scanList.scan").alias("scans"),
         F.coalesce(F.col("binaryDataArrayList.binaryDataArray"), F.array()).alias("arrays"),
+        F.col("_defaultArrayLength").alias("announced"),
         precursors.alias("precursors"),
         # Document order: own, scan, precursor, product and array parameters.
         F.concat(

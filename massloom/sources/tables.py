@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +16,79 @@ from pyspark.sql import types as T
 from massloom.functions.names import is_blank
 
 
+def csv_headers(spark: SparkSession, path: str | list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """(file, column names) of every CSV file with a header line, in order of the files.
+
+    One pass over the lines keeps one line per file. The driver lists the files
+    of any read anyhow; here it also holds their headers.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.where((F.col("start") == 0) & (F.col("value") != "")).groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    return [(r.file, tuple(next(csv.reader([r.line.lstrip("\ufeff")])))) for r in sorted(first.collect())]
+
+
+def _read_alike(spark: SparkSession, files: list[str]) -> DataFrame:
+    return spark.read.option("header", True).option("escape", '"').csv(files, inferSchema=False)
+
+
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A CSV with header, every column text: an id ``007`` keeps its zeros."""
-    return spark.read.option("header", True).option("escape", '"').csv(path, inferSchema=False)
+    """CSV files with headers, every column text: an id ``007`` keeps its zeros.
 
+    Each file is read by its own header: files with equal headers in one go,
+    and columns are matched by name, null where a file lacks them.
+    """
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for file, header in csv_headers(spark, path):
+        alike.setdefault(header, []).append(file)
+    if not alike:
+        return _read_alike(spark, [path] if isinstance(path, str) else path)
+    return union_relaxed([_read_alike(spark, files) for files in alike.values()])
 
-def read_annotations(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Annotation CSVs with ``accession``, the file name without suffix."""
-    return read_csv(spark, path).withColumn(
-        "accession", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv\z", "")
-    )
 
+def source_name(file: str) -> str:
+    """The file's name without folder and suffix."""
+    return unquote(file).rsplit("/", 1)[-1].removesuffix(".csv")
 
-def read_table(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+
+def read_by_source(
+    spark: SparkSession, path: str | list[str], contract: T.StructType, source: str = "accession"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that have all contract columns, and one line per file.
+
+    The rows carry ``source``, the file's name; the lines are (source, missing
+    column names). Every file is read by its own header.
+    """
+    alike: dict[tuple[str, ...], list[str]] = {}
+    lines = []
+    for file, header in csv_headers(spark, path):
+        missing = [c for c in contract.names if c not in header]
+        lines.append((source_name(file), missing))
+        if not missing:
+            alike.setdefault(header, []).append(file)
+    named = F.regexp_replace(F.url_decode(F.col("_metadata.file_name")), r"\.csv\z", "").alias(source)
+    frames = [_read_alike(spark, files).select(*contract.names, named) for files in alike.values()]
+    nothing = spark.createDataFrame([], ", ".join(f"{c} string" for c in [*contract.names, source]))
+    heads = spark.createDataFrame(lines, f"{source} string, missing array<string>")
+    return union_relaxed(frames or [nothing]), heads
+
+
+def read_table(spark: SparkSession, path: str, contract: T.StructType, by: str | None = None) -> DataFrame:
     """All Parquet files below ``path``; an empty table where there are none.
 
     Columns are matched by name, missing ones are null, and files with a
-    narrower number type are widened to the contract's.
+    narrower number type are widened to the contract's. ``by`` is a text column
+    that the table is partitioned by.
     """
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in contract.fields])
+    if by:
+        nullable = nullable.add(by, "string")
     try:
-        return spark.read.schema(nullable).option("recursiveFileLookup", True).parquet(path)
+        return spark.read.schema(nullable).option("recursiveFileLookup", by is None).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -1,12 +1,16 @@
 """Jobs from input files to written tables."""
 
+import base64
 import math
 import statistics
+import struct
+import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from massloom import contracts
+from massloom import contracts, session
 from massloom.operators.quality import QualityError
 from massloom.plans import breakdown, intensity, replicates, repositories, run_metadata, scan_metadata
 from massloom.sinks import sql_dump
@@ -372,3 +376,88 @@ def test_mzml(spark, tmp_path, zipped):
     assert rows["MS:1000544"] == ("conversion", "conversion", "data_processing")
     assert rows["info:id"] == ("id", "run7", "file_metadata") and rows["info:startTimeStamp"][1] == "t"
     assert "MS:1" not in rows and rows["ms2:spectrum_count"][1] == "1"
+
+
+def test_each_csv_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "A.csv").write_text("id,organism,source_type,material,condition,sample_group\na1,human,lab,liver,none,s1\n")
+    (tmp_path / "B.csv").write_text('organism,extra,id,material,source_type,sample_group,condition\nmouse,x,b1,"blood, whole",field,s2,fever\n')
+    rows = {r["id"]: r for r in replicates.load_annotations(spark, str(tmp_path)).collect()}
+    assert (rows["b1"]["organism"], rows["b1"]["material"], rows["b1"]["condition"], rows["b1"]["accession"]) == ("mouse", "blood, whole", "fever", "B")
+    assert (rows["a1"]["organism"], rows["a1"]["accession"]) == ("human", "A")
+    (tmp_path / "C.csv").write_text("id,organism,source_type,condition,sample_group\nc1,rat,lab,none,s3\n")
+    (tmp_path / "D.csv").write_text("id,organism,source_type,material,condition,sample_group\n")
+    with pytest.raises(QualityError, match=r"missing_column\(material\): 1, accession C; no_rows\(\*\): 1, accession D"):
+        replicates.load_annotations(spark, str(tmp_path))
+
+
+def test_same_id_in_two_accessions_and_a_corrected_file(spark, tmp_path):
+    head = "id,organism,source_type,material,condition,sample_group\n"
+    new = tmp_path / "new"
+    new.mkdir()
+
+    def call():
+        at = [str(tmp_path / n) for n in ("table", "report", "offsets")]
+        streaming.ingest_replicates(spark, str(new), *at).awaitTermination()
+        rows = spark.read.parquet(at[0]).collect()
+        return sorted((r["accession"], r["id"], r["organism"]) for r in rows)
+
+    (new / "A.csv").write_text(head + "x,human,s,m,c,g\n")
+    assert call() == [("A", "x", "human")]
+    (new / "B.csv").write_text("organism," + head.replace("organism,", "") + "mouse,x,s,m,c,g\n")
+    assert call() == [("A", "x", "human"), ("B", "x", "mouse")]
+    (new / "again").mkdir()
+    assert call() == [("A", "x", "human"), ("B", "x", "mouse")]
+
+
+def test_worklist_is_complete_or_fails(spark):
+    notes = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    found = spark.createDataFrame([("a", "P1", "/r/a.raw"), ("b", "P9", "/r/b.raw")], "id string, repository_id string, remote_path string")
+    sites = spark.createDataFrame([("P1", "ftp://h/r", "d")], "id string, url string, doi string")
+    listed = spark.createDataFrame([("P1", "/r", "/r/a.raw", False, 5)], contracts.LISTING)
+    faults = {tuple(r) for r in replicates.worklist_faults(notes, found, sites).collect()}
+    assert faults == {("file", "c", 0), ("repository", "P9", 0)}
+    with pytest.raises(QualityError, match="2 keys not found exactly once, e.g. file c: 0"):
+        replicates.worklist(notes, found, sites, listed)
+    rows = {r["sample_id"]: r for r in replicates.worklist(notes, found, sites, listed, on_missing="skip").collect()}
+    assert set(rows) == {"a", "b", "c"} and rows["a"]["host"] == "h" and rows["b"]["host"] is None
+
+
+def test_a_path_under_two_spellings_of_its_root_counts_once(spark):
+    rows = [("P1", "/data/1", "/data/1/x/a.raw", False, 200_000_000), ("P1", "/data/1/", "/data/1/x/a.raw", False, 200_000_000)]
+    listed = spark.createDataFrame(rows, contracts.LISTING)
+    sizes = {r["remote_path"]: r["size_bytes"] for r in repositories.build_files(listed).collect()}
+    assert sizes == {"/data/1/x": 200_000_000, "/data/1/x/a.raw": 200_000_000}
+
+
+@pytest.mark.parametrize(
+    ("number", "packing", "data", "expected"),
+    [
+        ("MS:1000519", "MS:1000576", struct.pack("<3i", 1, -2, 3), [1.0, -2.0, 3.0]),
+        ("MS:1000522", "MS:1000574", zlib.compress(struct.pack("<3q", 1, 2, 3)), [1.0, 2.0, 3.0]),
+        ("MS:1000523", "MS:1002312", struct.pack("<3d", 1, 2, 3), "not supported"),
+        ("MS:1000520", "MS:1000576", struct.pack("<3d", 1, 2, 3), "not supported"),
+        ("MS:1000523", "MS:1000576", struct.pack("<2d", 1, 2), "2 values where 3 are announced"),
+    ],
+)
+def test_mzml_encodings(spark, tmp_path, number, packing, data, expected):
+    text = (
+        '<mzML xmlns="http://psi.hupo.org/ms/mzml"><run><spectrumList><spectrum index="0" id="scan=1" defaultArrayLength="3">'
+        f'<binaryDataArrayList><binaryDataArray><cvParam accession="{number}"/><cvParam accession="{packing}"/>'
+        f'<cvParam accession="MS:1000514"/><binary>{base64.b64encode(data).decode()}</binary></binaryDataArray>'
+        "</binaryDataArrayList></spectrum></spectrumList></run></mzML>"
+    )
+    (tmp_path / "r.mzML").write_text(text)
+    spectra = mzml.read_spectra(spark, str(tmp_path / "r.mzML"))
+    if isinstance(expected, str):
+        with pytest.raises(Exception, match=expected):
+            spectra.collect()
+    else:
+        assert spectra.first()["mz"] == expected
+
+
+def test_job_scope_removes_what_it_made(spark):
+    with session.job_scope(spark):
+        kept = session.durable(spark.range(3), "kept")
+        place = Path(kept._scratch_path.removeprefix("file:"))
+        assert kept.count() == 3 and place.exists()
+    assert not place.exists()
