@@ -6,9 +6,61 @@ the rules of ``views.py`` and the jobs a second time, in set-oriented SQL.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from massloom.fixtures.views import HEADER_GROUPS, ORGANISMS, SUFFIXES
-from massloom.functions.cv import TECHNICAL_TERMS
-from massloom.functions.peaks import PERCENTAGES
+
+# Fixed values, stated here a second time so that the jobs' own are checked.
+# What is reported of a run: group, measure: the statistics, as accession group:measure_statistic.
+_PLAIN_REPORTS = """
+summary spectra sum spectrum_count total_spectrum_count
+ms1 spectra sum spectrum_count ms1_spectrum_count
+ms2 spectra sum spectrum_count ms2_spectrum_count
+summary scan_time min first_scan_time_minutes first_scan_time_minutes
+summary scan_time max last_scan_time_minutes last_scan_time_minutes
+summary scan_time seconds total_run_time_seconds total_run_time_seconds
+ms1 mz_low min mz_low_min ms1_mz_low_min
+ms1 mz_high max mz_high_max ms1_mz_high_max
+ms1 mz_window avg mz_window_avg ms1_mz_window_avg
+ms2 mz_low min mz_low_min ms2_mz_low_min
+ms2 mz_high max mz_high_max ms2_mz_high_max
+ms2 mz_window avg mz_window_avg ms2_mz_window_avg
+ms2 isolation_lower min isolation_lower_offset_min ms2_isolation_lower_offset_min
+ms2 isolation_upper max isolation_upper_offset_max ms2_isolation_upper_offset_max
+summary peak_separation_min min peak_separation_min peak_separation_min
+summary peak_separation_max max peak_separation_max peak_separation_max
+summary peak_separation_avg avg peak_separation_avg peak_separation_avg
+summary peak_separation_median avg peak_separation_median peak_separation_median
+summary peak_intensity_min min peak_intensity_min peak_intensity_min
+summary peak_intensity_max max peak_intensity_max peak_intensity_max
+summary peak_intensity_avg avg peak_intensity_avg peak_intensity_avg
+summary peak_intensity_median avg peak_intensity_median peak_intensity_median
+"""
+# Measures of which least, greatest, mean and deviation are all reported.
+_SPREAD_REPORTS = """
+summary tic
+ms1 tic
+ms2 tic
+summary precursor_mz
+ms2 collision_energy
+ms2 isolation_target_mz
+ms2 isolation_window
+summary peak_count
+ms1 peak_count
+ms2 peak_count
+"""
+_REPORTS = [
+    (group, measure, stat, f"{group}:{accession}", name)
+    for group, measure, stat, accession, name in (line.split() for line in _PLAIN_REPORTS.split("\n") if line)
+] + [
+    (group, measure, stat, f"{group}:{measure}_{stat}", f"{measure}_{stat}")
+    for group, measure in (line.split() for line in _SPREAD_REPORTS.split("\n") if line)
+    for stat in ("min", "max", "avg", "std")
+]
+# Terms about the encoding of arrays and the kind of file, never reported for a scan.
+_TECHNICAL = "MS:1000514 MS:1000515 MS:1000521 MS:1000574 MS:1000579 MS:1000580 MS:1000795".split()
+# Percentages of the quantile profile: the normal distribution at 101 points from -3 to 3 deviations.
+_PERCENTAGES = [100.0 * NormalDist().cdf(0.06 * i) for i in range(-50, 51)]
 
 R3 = "round({0}::DOUBLE::VARCHAR::DECIMAL(38,12), 3)::DOUBLE"
 
@@ -339,13 +391,7 @@ def _quality(view: str, columns: list[str], whole_rows: bool, per: str = "") ->
 
 def _measures_to_rows(source: str) -> str:
     """``source``: (basename, grp, measure, x). Ends in view ``eav``."""
-    from massloom.plans.run_metadata import REPORTED
-
-    wanted = ", ".join(
-        f"('{g}', '{m}', '{stat}', '{accession}', '{name}')"
-        for (g, m), lines in REPORTED.items()
-        for stat, accession, name in lines
-    )
+    wanted = ", ".join(str(report) for report in _REPORTS)
     return f"""measures AS (SELECT basename, grp, measure, count(*) AS n, sum(x) AS s, min(x) AS lo, max(x) AS hi, avg(x) AS mean,
  stddev_samp(x) AS std FROM ({source}) WHERE x IS NOT NULL AND grp IS NOT NULL GROUP BY ALL),
 wanted(grp, measure, stat, accession, name) AS (VALUES {wanted}),
@@ -431,7 +477,7 @@ def _run_rows(needs: list[str], source: str, select: str) -> str:
 
 
 def _scan_eav(cv: str, level: int, stats: str, parents: str) -> str:
-    technical = ", ".join(f"'{t}'" for t in TECHNICAL_TERMS)
+    technical = ", ".join(f"'{t}'" for t in _TECHNICAL)
     given = f"""SELECT basename, scan_number, accession, arg_min(name, pos) AS name, arg_min(CASE WHEN value IS NULL THEN '<null>' ELSE value END, pos) AS value
  FROM {cv} WHERE ms_level = {level} AND accession IS NOT NULL AND accession NOT IN ({technical}) GROUP BY ALL"""
     given = f"SELECT basename, scan_number, accession, name, nullif(value, '<null>') AS value FROM ({given})"
@@ -470,7 +516,7 @@ def _peak_rows(level: int) -> str:
 
 
 _BIN = "least(floor((x - 1::DOUBLE) / 0.08::DOUBLE)::INTEGER, 99)"
-_PERCENT_LIST = "[" + ", ".join(f"{p!r}::DOUBLE" for p in PERCENTAGES) + "]"
+_PERCENT_LIST = "[" + ", ".join(f"{p!r}::DOUBLE" for p in _PERCENTAGES) + "]"
 _LINEITEM = [
     ("l_orderkey", "bigint", "INT64"), ("l_partkey", "bigint", "INT64"), ("l_suppkey", "bigint", "INT64"),
     ("l_linenumber", "int", "INT32"), ("l_quantity", "double", "DOUBLE"), ("l_extendedprice", "double", "DOUBLE"),
@@ -484,6 +530,10 @@ _INSERT_REPOSITORIES = (
 )
 _TABLE_TEXT = {
     "repositories": "    id TEXT NOT NULL,\n    url TEXT NOT NULL,\n    doi TEXT NOT NULL",
+    "files": (
+        "    id TEXT,\n    repository_id TEXT NOT NULL,\n    remote_path TEXT NOT NULL,\n"
+        "    size_bytes BIGINT,\n    scan_timestamp TIMESTAMP"
+    ),
     "replicates": (
         "    id TEXT NOT NULL,\n    organism TEXT NOT NULL,\n    source_type TEXT NOT NULL,\n"
         "    material TEXT NOT NULL,\n    condition TEXT NOT NULL,\n    sample_group TEXT NOT NULL"
@@ -491,12 +541,13 @@ _TABLE_TEXT = {
 }
 
 
-def _frame_lines() -> str:
+def _frame_lines(names: tuple[str, ...] = ("repositories", "replicates")) -> str:
     rows = [(-1, 0, "-- generated by massloom"), (-1, 1, "BEGIN;"), (-1, 3, "")]
-    for at, (name, body) in enumerate(_TABLE_TEXT.items()):
+    for at, name in enumerate(names):
+        body = _TABLE_TEXT[name]
         create = f"CREATE TABLE IF NOT EXISTS {name} (\n{body}\n);\n"
         rows += [(at, 0, f"-- table: {name}"), (at, 1, create), (at, 3, "")]
-    rows.append((2, 0, "COMMIT;"))
+    rows.append((len(names), 0, "COMMIT;"))
     values = ", ".join(f"({t}, {s}, '{line}')" for t, s, line in rows)
     return f"SELECT * FROM (VALUES {values}) AS t(table_ord, section, line)"
 
@@ -626,7 +677,8 @@ ORACLE: dict[str, str] = {
  UNION ALL SELECT 1, 2, 'INSERT INTO files (id, repository_id, remote_path, size_bytes, scan_timestamp) VALUES ('
  || coalesce('''' || id || '''', 'NULL') || ', ''' || repository_id || ''', ''' || remote_path || ''', ' || size_bytes
  || ', ''2024-01-01 00:00:00'');' FROM v_files
- UNION ALL SELECT 2, 2, {_INSERT_REPLICATES} FROM v_replicates""",
+ UNION ALL SELECT 2, 2, {_INSERT_REPLICATES} FROM v_replicates
+ UNION ALL {_frame_lines(("repositories", "files", "replicates"))}""",
     ),
     "sql_dump_filtered": _sql(
         ["v_replicates", "v_repositories"],
@@ -727,6 +779,12 @@ ORACLE: dict[str, str] = {
  FROM v_spectra)""",
     ),
     "mzml_run_metadata": _mzml_run_metadata(),
+    "table_shapes": " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset_id, '{name}.parquet' AS bronze_path, 'parquet' AS format, count(*) AS row_count, "
+        f"{columns} AS column_count FROM {name}"
+        for name, columns in (("orders", 6), ("lineitem", 11), ("events", 6))
+    ),
+    "stored_files": "SELECT o_orderstatus AS status, count(*) AS n_rows, true AS described FROM orders GROUP BY 1",
     "stream_ingest": _sql(["v_replicates"], "SELECT * FROM v_replicates"),
     "annotations_mixed_headers": _sql(
         ["v_replicates"], "SELECT * EXCLUDE (accession) FROM v_replicates WHERE ascii(right(id, 1)) % 4 <> 3"
@@ -773,3 +831,4 @@ ORACLE: dict[str, str] = {
     ),
     "csv_ingest": _sql(["v_repositories"], "SELECT * FROM v_repositories"),
 }
+ORACLE["batch_splits_chained"] = ORACLE["batch_splits"]

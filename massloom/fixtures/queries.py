@@ -176,15 +176,20 @@ def incremental_new_files(spark, sf):
 # Batches
 
 
-def _splits(spark, sf, mode="balanced"):
+def _splits(spark, sf, mode="balanced", **how):
     files = v.stored_files(spark, sf)
-    return replicates.batch_splits(v.replicates(spark, sf, files), files, mode=mode)
+    return replicates.batch_splits(v.replicates(spark, sf, files), files, mode=mode, **how)
 
 
 def batch_splits(spark, sf):
     return _splits(spark, sf).select("accession", "id", "size_bytes", "split_id", "split")
 
 
+def batch_splits_chained(spark, sf):
+    """The same in small chunks, so that accessions go from chunk to chunk."""
+    return _splits(spark, sf, chunk_rows=500).select("accession", "id", "size_bytes", "split_id", "split")
+
+
 def split_totals(spark, sf):
     return replicates.split_totals(_splits(spark, sf))
 
@@ -218,14 +223,14 @@ def olap_cuts(spark, sf):
 # SQL text
 
 def sql_insert_lines(spark, sf):
-    """The dump of all three tables, without its frame."""
+    """The dump of all three tables, with its frame."""
     files = v.stored_files(spark, sf)
     tables = {
         "repositories": v.repositories(spark, sf),
         "files": files,
         "replicates": v.replicates(spark, sf, files),
     }
-    return sql_dump.dump_lines(tables).where(F.col("section") == 2)
+    return sql_dump.dump_lines(tables)
 
 
 def sql_dump_filtered(spark, sf):
@@ -331,8 +336,20 @@ def table_manifest(spark, sf):
     return union_relaxed(runs).drop("created_at")
 
 
+def table_shapes(spark, sf):
+    """What of the manifest another engine can see as well."""
+    return table_manifest(spark, sf).select("dataset_id", "bronze_path", "format", "row_count", "column_count")
+
+
 def stored_files(spark, sf):
-    return profile.stored_files(v.table(spark, sf, "lineitem")).select("id", "size_bytes")
+    """Files of a table written in folders by status: rows of each folder, whether all have a size and a time."""
+    path = scratch_path(spark, "orders")
+    sinks.write_partitioned(v.table(spark, sf, "orders"), path, "o_orderstatus", ["o_orderkey"])
+    found = profile.stored_files(spark.read.parquet(path))
+    return found.groupBy(F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1).alias("status")).agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.bool_and(F.contains(F.col("path"), F.col("id")) & (F.col("size_bytes") > 0) & F.col("created_at").isNotNull()).alias("described"),
+    )
 
 
 # Files on disk, written by Spark from the tables
@@ -507,12 +524,12 @@ QUERIES: dict[str, Query] = {
         sample_names, ftp_url_parts, dq_replicates, dq_repositories, dq_by_file, duplicate_ids,
         replicates_missing_size, replicate_id_list, sample_worklist, worklist_status,
         filtered_replicates, union_relaxed_tables, incremental_new_files,
-        batch_splits, split_totals, split_fill,
+        batch_splits, batch_splits_chained, split_totals, split_fill,
         sql_insert_lines, sql_dump_filtered, sql_typed_literals,
         run_metadata_stats, precursor_stats, acquisition_type, run_peak_stats, header_eav_dedupe,
         scan_eav_ms1, scan_eav_ms2, parent_ms1, scan_peak_stats, scan_metadata_ms2,
         intensity_histogram, intensity_histogram_wide, intensity_quantiles,
-        column_profile, dataset_metrics, table_manifest, stored_files,
+        column_profile, dataset_metrics, table_manifest, table_shapes, stored_files,
         mzml_scan, mzml_run_metadata, stream_ingest, csv_ingest,
         annotations_mixed_headers, annotations_header_faults, stream_replace, stream_runs, worklist_faults,
         sink_runs, sink_append_new, sink_partitioned, sink_split_files,

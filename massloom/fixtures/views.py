@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from massloom.contracts import CV_PARAM
 from massloom.functions.numbers import zero_padded
 from massloom.plans.repositories import build_files
-from massloom.session import durable, spread
+from massloom.session import durable
 
 SCAN_TIME = "2024-01-01 00:00:00"
 SUFFIXES = [".raw", ".RAW", ".mzML.gz", ".d/analysis.tdf", ".wiff", ".wiff.scan", ".pdf", ".mgf.zip"]
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """A test table, which is a single small file, dealt out ahead of costly row work."""
+    return df.repartition(*keys)
+
+
 def _px(key: str) -> Column:
     return F.concat(F.lit("PX"), zero_padded(F.col(key), 6))
 
@@ -55,7 +60,7 @@ def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files and some empty folders; some rows are listed twice."""
-    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    line = _dealt(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     kind = F.col("l_partkey") % 8
     suffix = F.lit(None).cast("string")
     for at, text in enumerate(SUFFIXES):
@@ -212,7 +217,7 @@ def spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     two = F.array(precursor(0), precursor(50))
-    return spread(table(spark, sf_dir, "embeddings"), "vec_id").select(
+    return _dealt(table(spark, sf_dir, "embeddings"), "vec_id").select(
         _text("run_", F.col("label")).alias("basename"),
         v.alias("scan_seq"),
         v.alias("scan_number"),
@@ -240,7 +245,7 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         _param("MS:1000500", "scan window upper limit", F.when(e % 7 != 0, F.lit(900) + e % 8)),
         _param(None, "no accession", "x"),
     )
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return _dealt(table(spark, sf_dir, "events"), "event_id").select(
         _text("user_", F.col("user_id")).alias("basename"),
         e.alias("scan_seq"),
         (e + 1).alias("scan_number"),
@@ -266,7 +271,7 @@ def isolations(spark: SparkSession, sf_dir: str) -> DataFrame:
         _param("MS:1000744", "selected ion m/z", F.floor("l_extendedprice") + 1),
         _param("MS:1000045", "collision energy", F.round(F.col("l_tax") * 100).cast("bigint")),
     ]
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey").select(
+    return _dealt(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey").select(
         _text("run_", F.col("l_suppkey")).alias("basename"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("scan_seq"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("scan_number"),

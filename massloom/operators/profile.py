@@ -108,15 +108,20 @@ def dataset_run(
 
 
 def stored_files(df: DataFrame) -> DataFrame:
-    """One row per stored file of a frame read from files."""
+    """One row per stored file of a frame read from files: id, path, size_bytes, created_at, n_rows."""
     return (
         df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
         .groupBy("file_path")
-        .agg(F.max("file_size").alias("size_bytes"), F.max("file_modification_time").alias("created_at"))
+        .agg(
+            F.max("file_size").alias("size_bytes"),
+            F.max("file_modification_time").alias("created_at"),
+            F.count("*").alias("n_rows"),
+        )
         .select(
             F.regexp_extract("file_path", r"([^/]*)\z", 1).alias("id"),
             F.col("file_path").alias("path"),
             "size_bytes",
             "created_at",
+            "n_rows",
         )
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from massloom.functions import peaks
 from massloom.operators.firsts import first_per_key, split_repeated
+from massloom.session import durable
 
 SCAN = ["basename", "scan_number"]
 HEAD = ["basename", "scan_number", "ms_level", "peaks", "min_mz", "max_mz", "min_int", "max_int"]
@@ -17,6 +18,7 @@ def scan_heads(spectra: DataFrame) -> DataFrame:
     raw = peaks.usable(F.col("intensity"))
     return spectra.select(
         *SCAN,
+        "scan_seq",
         "ms_level",
         F.size(raw).alias("peaks"),
         F.array_min("mz").alias("min_mz"),
@@ -27,20 +29,28 @@ def scan_heads(spectra: DataFrame) -> DataFrame:
     )
 
 
-def _first_scans(spectra: DataFrame) -> DataFrame:
-    """One row per run and scan number, the first in the file.
+def _first_scans(narrow: DataFrame) -> DataFrame:
+    """One row per run and scan number, the first in the file, without ``scan_seq``.
 
-    Peaks of scans with a number of their own are not shuffled.
+    ``narrow`` holds what was made of the peaks, a few hundred numbers per
+    scan. It is written once, so that the peaks are read once; looking for
+    repeated numbers then reads two columns of it.
     """
-    unique, repeated = split_repeated(spectra.where(F.col("ms_level").isNotNull()), SCAN)
-    return unique.unionByName(first_per_key(repeated, SCAN, ["scan_seq"]))
+    made = durable(narrow, "scan-counts")
+    unique, repeated = split_repeated(made, SCAN)
+    return unique.unionByName(first_per_key(repeated, SCAN, ["scan_seq"])).drop("scan_seq")
+
+
+def _levelled(spectra: DataFrame) -> DataFrame:
+    return spectra.select(*SCAN, "scan_seq", "ms_level", "mz", "intensity").where(F.col("ms_level").isNotNull())
 
 
 def histogram(spectra: DataFrame) -> DataFrame:
     """Scan heads with ``under``, ``over`` and the array of 100 bin counts."""
-    scans = _first_scans(spectra.select(*SCAN, "scan_seq", "ms_level", "mz", "intensity"))
-    counted = scan_heads(scans).withColumn("slots", peaks.histogram_slots(F.col("intensity")))
-    return counted.select(
+    counted = scan_heads(_levelled(spectra)).select(
+        *HEAD, "scan_seq", peaks.histogram_slots(F.col("intensity")).alias("slots")
+    )
+    return _first_scans(counted).select(
         *HEAD,
         F.get("slots", F.lit(0)).alias("under"),
         F.get("slots", F.lit(peaks.HISTOGRAM_BINS + 1)).alias("over"),
@@ -66,12 +76,12 @@ def histogram_wide(counts: DataFrame) -> DataFrame:
 
 def quantiles(spectra: DataFrame) -> DataFrame:
     """Scan heads with the array of 101 log-intensity quantiles; null without peaks."""
-    scans = _first_scans(spectra.select(*SCAN, "scan_seq", "ms_level", "mz", "intensity"))
-    return (
-        scan_heads(scans)
+    profiled = (
+        scan_heads(_levelled(spectra))
         .withColumn("_ordered", F.sort_array(peaks.usable(F.col("intensity"))))
-        .select(*HEAD, peaks.quantile_profile(F.col("_ordered")).alias("quantiles"))
+        .select(*HEAD, "scan_seq", peaks.quantile_profile(F.col("_ordered")).alias("quantiles"))
     )
+    return _first_scans(profiled).select(*HEAD, "quantiles")
 
 
 def quantiles_long(profiles: DataFrame) -> DataFrame:

@@ -60,11 +60,19 @@ def batch_splits(
     target_bytes: int = packing.TARGET_BYTES,
     mode: str = "balanced",
     on_missing: str = "fail",
+    chunk_rows: int = packing.CHUNK_ROWS,
 ) -> DataFrame:
-    """Replicates with size, split number and split label."""
+    """Replicates with size, split number and split label.
+
+    ``balanced`` packs rows one after the other within an accession, in chunks
+    of ``chunk_rows``; ``fill`` is parallel throughout, with less even loads.
+    """
     sized = with_sizes(replicates, files, on_missing)
-    assign = {"balanced": packing.assign_splits, "fill": packing.fill_splits}[mode]
-    return assign(sized, accession, target_bytes).withColumn("split", split_label(accession))
+    if mode == "balanced":
+        packed = packing.assign_splits(sized, accession, target_bytes, chunk_rows)
+    else:
+        packed = packing.fill_splits(sized, accession, target_bytes)
+    return packed.withColumn("split", split_label(accession))
 
 
 def split_totals(splits: DataFrame, accession: str = "accession") -> DataFrame:

@@ -10,6 +10,7 @@ from massloom.functions import peaks
 from massloom.functions.numbers import decimal_text, round3, whole_text
 from massloom.operators.asof import last_marked
 from massloom.operators.firsts import first_per_key, split_repeated
+from massloom.session import durable
 
 # Accession and name of the computed rows, in output order.
 PARENT = ("parent:ms1", "Parent MS1 scan")
@@ -86,11 +87,7 @@ def _first_in_scan(cv: Column) -> Column:
 
 
 def _scan_rows(spectra: DataFrame) -> DataFrame:
-    """Parameters and peak statistics of each scan, exploded once.
-
-    The explode is an outer one: the plain one adds a filter on the array, and
-    the optimizer would push it down with a second copy of all computations.
-    """
+    """Parameters and peak statistics of each scan, as one array ``rows``."""
     computed = []
     for at, (column, (accession, name)) in enumerate(PEAK_ROWS.items()):
         value = F.col(column) if column == "peak_count" else round3(F.col(column))
@@ -99,27 +96,32 @@ def _scan_rows(spectra: DataFrame) -> DataFrame:
     given = F.transform(
         "_given", lambda p, i: _row(i, p["accession"], p["name"], p["value"])
     )
-    rows = F.concat(given, F.array(*computed))
     return (
         peak_stats(spectra, MIN_FOR_MEDIAN, MIN_FOR_MEDIAN)
         .withColumn("_given", _first_in_scan(F.coalesce("cv", F.array())))
-        .select("basename", "scan_number", "scan_seq", F.inline_outer(rows))
-        .where((F.col("pos") < COMPUTED_FROM) | F.col("value_num").isNotNull())
+        .select("basename", "scan_number", "scan_seq", F.concat(given, F.array(*computed)).alias("rows"))
     )
 
 
+def _exploded(scans: DataFrame) -> DataFrame:
+    rows = scans.select("basename", "scan_number", "scan_seq", F.inline("rows"))
+    return rows.where((F.col("pos") < COMPUTED_FROM) | F.col("value_num").isNotNull())
+
+
 def scan_metadata(spectra: DataFrame, ms_level: int) -> DataFrame:
     """One row per scan and accession for the scans of one MS level.
 
     Of repeated accessions the first in document order counts, also where a
-    run uses a scan number twice. The rows of ordinary scans are made in place;
-    only scans with a repeated number and the parent links are shuffled.
+    run uses a scan number twice. The rows of a scan are made in place and
+    written once, as an array, so that the peaks are read once; only scans with
+    a repeated number and the parent links are shuffled.
     """
     key = ["basename", "scan_number"]
-    unique, repeated = split_repeated(spectra.where(F.col("ms_level") == ms_level), key)
+    made = durable(_scan_rows(spectra.where(F.col("ms_level") == ms_level)), "scan-rows")
+    unique, repeated = split_repeated(made, key)
     columns = [*key, "accession", "name", "value", "value_num"]
-    rows = _scan_rows(unique).select(*columns).unionByName(
-        first_per_key(_scan_rows(repeated), [*key, "accession"], ["scan_seq", "pos"]).select(*columns)
+    rows = _exploded(unique).select(*columns).unionByName(
+        first_per_key(_exploded(repeated), [*key, "accession"], ["scan_seq", "pos"]).select(*columns)
     )
     if ms_level != 2:
         return rows

@@ -42,16 +42,6 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext._massloom_shipped = True
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spreads a table read in fewer pieces than there are cores.
-
-    For small files ahead of costly row work. A table of many pieces, as any
-    large one is, passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -67,3 +67,11 @@ def test_inferred_filters_do_not_copy_the_work(spark, sf):
     text = plan(run_metadata.run_measures(spectra))
     filters = [line for line in text.splitlines() if line.startswith("Condition")]
     assert not any("sort_array" in line for line in filters)
+
+
+def test_peaks_are_read_once(spark, sf):
+    """What follows the one pass over the peaks reads what was made of them."""
+    spectra = views.spectra(spark, sf)
+    for made in (intensity.histogram(spectra), intensity.quantiles(spectra), scan_metadata.scan_metadata(spectra, 1)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "embedding" not in plan
