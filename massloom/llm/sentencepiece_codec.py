@@ -21,6 +21,7 @@ import re
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -136,6 +137,10 @@ class Codec(dict):
     def words(self, text: str) -> list[str]:
         return self.word.findall(MARK + text.replace(" ", MARK)) if text else []
 
+    def text_of(self, words: list[str]) -> str:
+        """The decoded text of encoded words, each of which ``check`` compares with its decoded ids."""
+        return "".join(words).replace(MARK, " ").removeprefix(" ")
+
     def encode(self, text: str) -> array:
         ids = array("I", b"".join(map(self.__getitem__, self.words(text))))
         return self.ends[0] + ids + self.ends[1]
@@ -176,7 +181,7 @@ def read_model(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, model: bytes) -> DataFrame:
-    """``docs`` with token_ids (array<int>, with begin and end) and decoded_text.
+    """``docs`` with token_ids (array<int>, with begin and end) and decoded_text, as in ``digests``.
 
     A null or empty text gives begin and end alone and decodes to nothing. A
     column of ``docs`` that has one of the two names is replaced.
@@ -185,12 +190,17 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec = codec_of(model)
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        ids = [codec.encode(t) for t in texts]
-        decoded = [codec.decode(i) for i in ids]
+        begin, end = (e.tobytes() for e in codec.ends)
+        ids, decoded = [], []
+        for text in batch.column("text").to_pylist():
+            words = codec.words(text or "")
+            ids.append(b"".join([begin, *map(codec.__getitem__, words), end]))
+            decoded.append(codec.text_of(words))
         codec.check()
+        edges = np.cumsum([0, *[len(i) // 4 for i in ids]], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), np.int32)))
         return pa.RecordBatch.from_arrays(
-            [*[batch.column(n) for n in names], pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
+            [*[batch.column(n) for n in names], lists, pa.array(decoded, pa.string())],
             names=[*names, "token_ids", "decoded_text"],
         )
 
@@ -213,7 +223,7 @@ def digests(docs: DataFrame, model: bytes) -> DataFrame:
         for text in batch.column("text").to_pylist():
             words = codec.words(text)
             ids = b"".join([begin, *map(codec.__getitem__, words), end])
-            decoded = "".join(words).replace(MARK, " ").removeprefix(" ")
+            decoded = codec.text_of(words)
             counts.append(len(ids) // 4)
             ids_hex.append(hashlib.sha256(ids).hexdigest())
             text_hex.append(hashlib.sha256(decoded.encode()).hexdigest())
