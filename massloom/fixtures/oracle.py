@@ -685,6 +685,12 @@ ORACLE: dict[str, str] = {
         f"""SELECT 0 AS table_ord, 2 AS section, {_INSERT_REPOSITORIES} AS line FROM v_repositories
  UNION ALL SELECT 1, 2, {_INSERT_REPLICATES} FROM v_replicates WHERE organism IN ('pig', 'rat') AND condition = '1-URGENT'
  UNION ALL {_frame_lines()}""",
+    ),
+    "dump_requests": _sql(
+        ["v_replicates", "v_repositories"],
+        f"""SELECT 'first' AS request, {_INSERT_REPOSITORIES} AS line FROM v_repositories
+ UNION ALL SELECT 'first', {_INSERT_REPLICATES} FROM v_replicates WHERE organism IN ('pig', 'rat') AND condition = '1-URGENT'
+ UNION ALL SELECT 'second', id || '|' || url || '|' || doi FROM v_repositories""",
     ),
     "sql_typed_literals": """SELECT 0 AS table_ord, 2 AS section,
  'INSERT INTO orders (o_orderkey, o_custkey, note, done, half, stamp) VALUES (' || o_orderkey || ', ' || o_custkey || ', '

@@ -239,6 +239,24 @@ def sql_dump_filtered(spark, sf):
     return sql_dump.answer_request(tables, "replicates, repositories", {"organism": ["pig", "rat"], "condition": "1-URGENT"})
 
 
+def dump_requests(spark, sf):
+    """Two requests from their file to a script and to Parquet: the INSERT lines and the rows they give."""
+    base = scratch_path(spark, "requests")
+    asked = [
+        '{"request_id": "first", "target_tables": "replicates, repositories", "filters": "{\\"organism\\": [\\"pig\\", \\"rat\\"], \\"condition\\": \\"1-URGENT\\"}"}',
+        '{"request_id": "second", "target_tables": "repositories", "output_format": "PARQUET"}',
+    ]
+    spark.createDataFrame([(a,) for a in asked], "value string").write.text(f"{base}/in")
+    files = v.stored_files(spark, sf)
+    tables = {"files": files, "replicates": v.replicates(spark, sf, files), "repositories": v.repositories(spark, sf)}
+    sql_dump.answer_requests(tables, f"{base}/in", f"{base}/out")
+    script = spark.read.text(f"{base}/out/first").where(F.startswith(F.col("value"), F.lit("INSERT")))
+    rows = spark.read.parquet(f"{base}/out/second/repositories")
+    return script.select(F.lit("first").alias("request"), F.col("value").alias("line")).unionByName(
+        rows.select(F.lit("second").alias("request"), F.concat_ws("|", "id", "url", "doi").alias("line"))
+    )
+
+
 def sql_typed_literals(spark, sf):
     """INSERT lines over every column type of the test tables."""
     orders = v.table(spark, sf, "orders").select(
@@ -525,7 +543,7 @@ QUERIES: dict[str, Query] = {
         replicates_missing_size, replicate_id_list, sample_worklist, worklist_status,
         filtered_replicates, union_relaxed_tables, incremental_new_files,
         batch_splits, batch_splits_chained, split_totals, split_fill,
-        sql_insert_lines, sql_dump_filtered, sql_typed_literals,
+        sql_insert_lines, sql_dump_filtered, dump_requests, sql_typed_literals,
         run_metadata_stats, precursor_stats, acquisition_type, run_peak_stats, header_eav_dedupe,
         scan_eav_ms1, scan_eav_ms2, parent_ms1, scan_peak_stats, scan_metadata_ms2,
         intensity_histogram, intensity_histogram_wide, intensity_quantiles,

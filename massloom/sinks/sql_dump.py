@@ -12,22 +12,15 @@ from pyspark.sql.types import StructType
 from massloom.contracts import DUMP_TABLES
 from massloom.functions.sql_text import create_table_text, insert_line
 from massloom.operators.filters import apply_filters
-from massloom.sources.tables import union_relaxed
+from massloom.sources.tables import parse_filters, read_requests, union_relaxed
 
+#: What a request may ask for.
+FORMATS = ("sql", "parquet", "csv")
 LINES_DDL = "table_ord int, section int, line string"
 
 
-def ddl_lines(spark: SparkSession, tables: Mapping[str, StructType]) -> DataFrame:
-    """Frame of the script: heading, DDL of each table and the final COMMIT."""
-    rows = [(-1, 0, "-- generated by massloom"), (-1, 1, "BEGIN;"), (-1, 3, "")]
-    for order, (name, schema) in enumerate(tables.items()):
-        rows += [
-            (order, 0, f"-- table: {name}"),
-            (order, 1, create_table_text(name, schema)),
-            (order, 3, ""),
-        ]
-    rows.append((len(tables), 0, "COMMIT;"))
-    return spark.createDataFrame(rows, LINES_DDL)
+def _frame(spark: SparkSession, rows: list[tuple[int, int, str]]) -> DataFrame:
+    return spark.createDataFrame(rows, LINES_DDL).coalesce(1)
 
 
 def insert_lines(name: str, order: int, df: DataFrame, contract: StructType) -> DataFrame:
@@ -42,33 +35,67 @@ def dump_lines(
     filters: Mapping[str, Any] | None = None,
     contracts: Mapping[str, StructType] = DUMP_TABLES,
 ) -> DataFrame:
-    """All lines of the script; their order is (table_ord, section, line).
+    """All lines of the script, in the order (table_ord, section).
 
-    Filters apply to every table that has the column.
+    Filters apply to every table that has the column. The parts are joined in
+    the order of the script, and a union keeps the order of its parts.
     """
     chosen = {name: contracts[name] for name in contracts if name in tables}
     spark = next(iter(tables.values())).sparkSession
-    parts = [ddl_lines(spark, chosen)]
+    parts = [_frame(spark, [(-1, 0, "-- generated by massloom"), (-1, 1, "BEGIN;"), (-1, 3, "")])]
     for order, (name, contract) in enumerate(chosen.items()):
-        parts.append(insert_lines(name, order, apply_filters(tables[name], filters), contract))
-    return union_relaxed(parts)
+        parts += [
+            _frame(spark, [(order, 0, f"-- table: {name}"), (order, 1, create_table_text(name, contract))]),
+            insert_lines(name, order, apply_filters(tables[name], filters), contract),
+            _frame(spark, [(order, 3, "")]),
+        ]
+    return union_relaxed([*parts, _frame(spark, [(len(chosen), 0, "COMMIT;")])])
 
 
 def write_dump(lines: DataFrame, path: str) -> None:
-    """Text files that read in name order give the script."""
-    order = ["table_ord", "section", "line"]
-    (
-        lines.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("line")
-        .write.mode("overwrite")
-        .text(path)
-    )
+    """Text files that read in name order give the script.
+
+    ``lines`` as they come from ``dump_lines``: files are numbered in the order
+    of the partitions, so nothing is sorted or shuffled. Inside a table the
+    order of its INSERT lines is that of the table.
+    """
+    lines.select("line").write.mode("overwrite").text(path)
+
+
+def _chosen(tables: Mapping[str, DataFrame], target_tables: str | None) -> dict[str, DataFrame]:
+    names = [t.strip() for t in (target_tables or "").split(",") if t.strip()] or list(tables)
+    if unknown := [n for n in names if n not in tables]:
+        raise ValueError(f"no table {', '.join(unknown)}")
+    return {n: tables[n] for n in names}
 
 
 def answer_request(
     tables: Mapping[str, DataFrame], target_tables: str | None, filters: Mapping[str, Any] | None
 ) -> DataFrame:
     """Lines for one request: named tables only (comma-separated; none means all)."""
-    names = [t.strip() for t in (target_tables or "").split(",") if t.strip()] or list(tables)
-    return dump_lines({n: tables[n] for n in names}, filters)
+    return dump_lines(_chosen(tables, target_tables), filters)
+
+
+def answer_requests(tables: Mapping[str, DataFrame], requests_path: str, out: str) -> list[str]:
+    """Answers every request below ``requests_path`` in a folder of its own; returns their ids in order.
+
+    ``output_format`` is sql (a script, also where none is given), parquet or
+    csv (a folder per table); others are refused before anything is written.
+    The requests are control data, one small file each; the tables are read
+    and written by Spark only.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    asked = sorted(read_requests(spark, requests_path).collect(), key=lambda r: r.request_id)
+    formats = {r.request_id: (r.output_format or "sql").lower() for r in asked}
+    if odd := sorted({f for f in formats.values() if f not in FORMATS}):
+        raise ValueError(f"output format {', '.join(odd)} is none of {', '.join(FORMATS)}")
+    for request in asked:
+        chosen, filters = _chosen(tables, request.target_tables), parse_filters(request.filters)
+        to = f"{out}/{request.request_id}"
+        if formats[request.request_id] == "sql":
+            write_dump(dump_lines(chosen, filters), to)
+            continue
+        for name, table in chosen.items():
+            rows = apply_filters(table, filters).select(*DUMP_TABLES[name].names)
+            rows.write.mode("overwrite").option("header", True).format(formats[request.request_id]).save(f"{to}/{name}")
+    return [r.request_id for r in asked]

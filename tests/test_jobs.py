@@ -461,3 +461,20 @@ def test_job_scope_removes_what_it_made(spark):
         place = Path(kept._scratch_path.removeprefix("file:"))
         assert kept.count() == 3 and place.exists()
     assert not place.exists()
+
+
+def test_requests_are_answered_by_format(spark, catalogue, tmp_path):
+    files, annotated, sites, _ = catalogue
+    asked = tmp_path / "in"
+    asked.mkdir()
+    (asked / "a.request").write_text('{"target_tables": "repositories"}\n')
+    (asked / "b.request").write_text('{"target_tables": "replicates", "output_format": "csv"}\n')
+    known = {"repositories": sites, "files": files, "replicates": annotated}
+    assert sql_dump.answer_requests(known, str(asked), str(tmp_path / "out")) == ["a", "b"]
+    script = "".join(p.read_text() for p in sorted((tmp_path / "out" / "a").glob("part-*")))
+    assert script.startswith("-- generated by massloom\nBEGIN;\n") and script.rstrip().endswith("COMMIT;")
+    back = spark.read.option("header", True).csv(str(tmp_path / "out" / "b" / "replicates"))
+    assert _rows(back, "id") == _rows(annotated, "id")
+    (asked / "c.request").write_text('{"output_format": "xml"}\n')
+    with pytest.raises(ValueError, match="xml is none of"):
+        sql_dump.answer_requests(known, str(asked), str(tmp_path / "out"))
