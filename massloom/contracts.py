@@ -107,5 +107,3 @@ SPECTRA_DDL = (
     "scan_time_min double, mz array<double>, intensity array<double>, "
     f"cv array<{CV_PARAM}>, precursors array<struct<cv:array<{CV_PARAM}>>>"
 )
-
-STRATUM_COLUMNS = ["organism", "source_type", "material", "condition"]

@@ -37,10 +37,6 @@ def usable(intensity: Column) -> Column:
     return F.when(intensity.isNull() | (F.array_min(intensity) <= -1.0), empty).otherwise(intensity)
 
 
-def log_intensities(intensity: Column) -> Column:
-    return F.transform(usable(intensity), log_of)
-
-
 def array_mean(values: Column) -> Column:
     total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
     return F.when(F.size(values) > 0, total / F.size(values))

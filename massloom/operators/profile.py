@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from massloom.functions.numbers import decimal_text, round3, whole_text
+from massloom.sources.tables import union_relaxed
 
 # Parquet physical types by Spark type name; all else is BYTE_ARRAY.
 PHYSICAL_TYPES = {
@@ -24,29 +25,43 @@ PHYSICAL_TYPES = {
 def column_profile(df: DataFrame, dataset_id: str, approximate: bool = False) -> DataFrame:
     """One row per column: position, types, nulls and distinct values.
 
-    Exact distinct counts shuffle every distinct value; ``approximate`` needs
-    only a sketch per column.
+    Exact counts take one small aggregation per column, which reads that
+    column alone and shuffles each of its values once per task; no row is
+    multiplied by the number of columns. ``approximate`` makes a sketch per
+    column in one pass.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    aggs: list[Column] = []
-    lines: list[Column] = []
-    for at, field in enumerate(df.schema.fields):
-        column = F.col(f"`{field.name}`")
-        aggs += [distinct(column).alias(f"d{at}"), F.count_if(column.isNull()).alias(f"n{at}")]
+
+    def line(at: int, distinct: str, nulls: str) -> Column:
+        field = df.schema.fields[at]
         logical = field.dataType.simpleString()
-        lines.append(
-            F.struct(
-                F.lit(dataset_id).alias("dataset_id"),
-                F.lit(field.name).alias("column_name"),
-                F.lit(at + 1).alias("ordinal_position"),
-                F.lit(logical).alias("logical_type"),
-                F.lit(PHYSICAL_TYPES.get(logical, "BYTE_ARRAY")).alias("physical_type"),
-                F.lit(field.nullable).alias("nullable"),
-                F.col(f"d{at}").alias("distinct_count"),
-                F.col(f"n{at}").alias("null_count"),
-            )
+        return F.struct(
+            F.lit(dataset_id).alias("dataset_id"),
+            F.lit(field.name).alias("column_name"),
+            F.lit(at + 1).alias("ordinal_position"),
+            F.lit(logical).alias("logical_type"),
+            F.lit(PHYSICAL_TYPES.get(logical, "BYTE_ARRAY")).alias("physical_type"),
+            F.lit(field.nullable).alias("nullable"),
+            F.col(distinct).alias("distinct_count"),
+            F.coalesce(F.col(nulls), F.lit(0)).alias("null_count"),
         )
-    return df.agg(*aggs).select(F.inline(F.array(*lines)))
+
+    columns = [F.col(f"`{field.name}`") for field in df.schema.fields]
+    if approximate:
+        aggs = [
+            a
+            for at, c in enumerate(columns)
+            for a in (F.approx_count_distinct(c).alias(f"d{at}"), F.count_if(c.isNull()).alias(f"n{at}"))
+        ]
+        return df.agg(*aggs).select(F.inline(F.array(*[line(at, f"d{at}", f"n{at}") for at in range(len(columns))])))
+    parts = [
+        df.select(c.alias("v"))
+        .groupBy("v")
+        .agg(F.count("*").alias("n"))
+        .agg(F.count("v").alias("d"), F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("nulls"))
+        .select(F.inline(F.array(line(at, "d", "nulls"))))
+        for at, c in enumerate(columns)
+    ]
+    return union_relaxed(parts)
 
 
 def dataset_metrics(df: DataFrame, dataset_id: str, computed_at: Column | None = None) -> DataFrame:

@@ -60,10 +60,10 @@ def with_shares(folded: DataFrame, cut: Sequence[str], label: str = "label", val
     """Adds ``pct``, its legend text and ``rank`` (largest first, Other last).
 
     At most 1/threshold labels are left per cut after folding, so the rank
-    window is small. A cut without a positive total has no shares and is not
+    window is small; with a threshold of 0 it holds all labels. A cut without a positive total has no shares and is not
     folded; its rows get no rank and are kept out of that window.
     """
-    positive = F.col("total") > 0
+    positive = F.coalesce(F.col("total") > 0, F.lit(False))
     pct = F.when(positive, F.lit(100.0) * F.col(value).cast("double") / F.col("total").cast("double"))
     by_size = Window.partitionBy(*cut, F.when(~positive, F.col(label))).orderBy(
         "is_other", F.col(value).desc(), label

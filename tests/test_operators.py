@@ -6,8 +6,10 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from massloom import contracts
 from massloom.contracts import LISTING, REPLICATES, REPOSITORIES
 from massloom.operators import asof, filters, firsts, inventory, ordering, packing, profile, quality, shares
 from massloom.plans import repositories
@@ -283,3 +285,24 @@ def test_checksum_ignores_order(spark, sf, tmp_path):
     assert a["checksum"] == b["checksum"] and a["row_count"] == b["row_count"] == df.count()
     files = profile.stored_files(copy)
     assert files.agg(F.sum("size_bytes")).first()[0] == b["size_bytes"]
+
+
+def test_profiles_meet_their_contracts(spark, sf):
+    df = spark.read.parquet(f"{sf}/orders.parquet")
+
+    def shape(table):
+        return [(f.name, f.dataType) for f in table.fields]
+
+    assert shape(profile.column_profile(df, "d").schema) == shape(contracts.COLUMN_PROFILE)
+    assert shape(profile.column_profile(df, "d", approximate=True).schema) == shape(contracts.COLUMN_PROFILE)
+    assert shape(profile.dataset_metrics(df, "d").schema) == shape(contracts.DATASET_METRICS)
+    run = profile.dataset_run(df, "o", "p").select(*[F.col(f.name).cast(f.dataType) for f in contracts.DATASET_RUN])
+    assert shape(run.schema) == shape(contracts.DATASET_RUN)
+    assert set(contracts.DATASET_MANIFEST.names) <= set(profile.stored_files(df).columns)
+
+
+def test_shares_of_a_cut_without_sizes(spark):
+    rows = spark.createDataFrame([("x", "a", None), ("x", "b", None), ("y", "c", 5)], "cut string, label string, value bigint")
+    folded = rows.withColumns({"total": F.sum("value").over(Window.partitionBy("cut")), "is_other": F.lit(False)})
+    got = {r["label"]: (r["pct"], r["rank"]) for r in shares.with_shares(folded, ["cut"]).collect()}
+    assert got == {"a": (None, None), "b": (None, None), "c": (100.0, 1)}
