@@ -165,7 +165,7 @@ def _regions(text: str) -> list[tuple[int, int]]:
 
 
 def notices(text: str) -> list[Notice]:
-    """License notices of one text in order; of overlapping ones the one with fewer differences, then the longer."""
+    """License notices of one text in order; of overlapping ones the one that agrees in most words."""
     found: list[Notice] = []
     for low, high in _regions(text):
         block = text[low:high]
@@ -177,12 +177,15 @@ def notices(text: str) -> list[Notice]:
                 if saved <= 0 or not words:
                     continue
                 edits, first, last = aligned(template, words)
-                if edits <= int(len(template) * DIFFERENT) and first < last:
-                    good.append((edits, -len(template), spans[first][0], spans[last - 1][1], name, saved, template, words[first:last]))
+                if edits > int(len(template) * DIFFERENT) or first >= last:
+                    continue
+                missing, added = differences(template, words[first:last])
+                # Another number is another version.
+                if not any(w[0].isdigit() for w in missing + added):
+                    good.append((edits - len(template), edits, spans[first][0], spans[last - 1][1], name, saved, missing, added))
             if not good:
                 break
-            _, _, start, end, name, saved, template, run = min(good)
-            missing, added = differences(template, run)
+            _, _, start, end, name, saved, missing, added = min(good)
             found.append(Notice(name, low + start, low + end, missing, added, saved))
             block = block[:start] + "\n" * (end - start) + block[end:]
     kept: list[Notice] = []

@@ -39,13 +39,14 @@ OUTSIDE, BEGIN, INSIDE = range(3)
 #: Documents in the sample, windows of one document and tokens in a window.
 SAMPLE, WINDOWS, WINDOW = 4000, 4, 24
 #: Steps of training, step size, pull to zero.
-STEPS, RATE, PULL = 100, 0.3, 1e-3
+STEPS, RATE, PULL = 150, 0.5, 1e-3
 #: Characters of texts looked at together.
 TEXT_CHARS = 1_000_000
 WORD_BITS = 12
-#: Rows of each table: shape, own word, words before and behind, shape before, file.
-SHAPES, FILES = 8 * 64 * 3, 9
-SIZES = (SHAPES, 1 << WORD_BITS, 1 << WORD_BITS, 1 << WORD_BITS, 1 << WORD_BITS, SHAPES, FILES)
+#: Rows of each table: shape, own word, words before and behind, shape before, file, and the shape in outline, which
+#: also speaks where the exact shape was never seen.
+SHAPES, FILES, OUTLINES = 8 * 64 * 3, 9, 8 * 3 * 2
+SIZES = (SHAPES, 1 << WORD_BITS, 1 << WORD_BITS, 1 << WORD_BITS, 1 << WORD_BITS, SHAPES, FILES, OUTLINES)
 STARTS = np.cumsum((0, *SIZES))
 
 SPACE, LOWER, UPPER, DIGIT, JOIN, FAR, OTHER = range(7)
@@ -62,23 +63,21 @@ _LENGTHS = np.array([4, 8, 12, 16, 20, 32, 48])
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, number of the kind, end) of what the patterns find, in order."""
+    """(start, number of the kind, end) of the secrets the patterns find, in order.
+
+    Of an assignment the secret is its value, group 2; so a hexadecimal value
+    is found as two kinds with one start.
+    """
     found = []
     low = text.lower()
     if any(w in low for w in ASSIGN_WORDS):
-        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
+        found += [(m.start(2), 0, m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(found)
 
 
-def _secret_parts(text: str) -> list[tuple[int, int]]:
-    """What the field learns as secret: values of assignments, and the other spans."""
-    parts = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
-    return parts + [(s, e) for s, k, e in base_spans(text) if k]
-
-
 @dataclass
 class Tokens:
     """Places of the tokens of some joined texts, and the rows of the tables each looks up."""
@@ -120,14 +119,16 @@ def tokens_of(joined: str, edges: np.ndarray) -> Tokens:
         | (total((points < 128) & _HEX[near]) == length) << 4
         | (total((kinds == FAR) | (kinds == OTHER)) > 0) << 5
     ).astype(np.int64)
-    shape = (np.searchsorted(_LENGTHS, length, side="right") * 64 + flags) * 3 + np.searchsorted([1, 3], turns, side="right")
-    # A word is hashed without regard to case; one that holds a digit counts by its shape alone.
+    size, changes = np.searchsorted(_LENGTHS, length, side="right"), np.searchsorted([1, 3], turns, side="right")
+    shape = (size * 64 + flags) * 3 + changes
+    outline = (size * 3 + changes) * 2 + (digits > 0)
+    # A word is hashed without regard to case; one that holds a digit counts by its shape alone, as row 0.
     lowered = np.where(kinds == UPPER, points + 32, points).astype(np.uint64)
     place = (np.arange(len(points)) - np.repeat(change, ends - change)).astype(np.uint64)
     mixed = (lowered + np.uint64(1)) * (np.uint64(2) * place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
     word = ((sums[end] - sums[start]) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    word[digits > 0] = shape[digits > 0] % (1 << WORD_BITS)
+    word[digits > 0] = 0
     # The file: share of digits among its characters, and marks of assignments.
     text = np.maximum(np.searchsorted(edges, start, side="right") - 1, 0)
     count = len(edges)
@@ -144,7 +145,7 @@ def tokens_of(joined: str, edges: np.ndarray) -> Tokens:
             out[:by] = values[-by:]
         return out
 
-    rows = np.stack([shape, word, moved(word, 1), moved(word, 2), moved(word, -1), moved(shape, 1), file], axis=1)
+    rows = np.stack([shape, word, moved(word, 1), moved(word, 2), moved(word, -1), moved(shape, 1), file, outline], axis=1)
     gap = (length == 1) & ((points[start] == 1) | (points[start] == 2))
     return Tokens(start, end, rows + STARTS[:-1], gap)
 
@@ -265,7 +266,7 @@ def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     _, joined, edges = next(_groups([text]))
     tokens = tokens_of(joined, edges)
     tags = np.zeros(len(tokens.start), np.int8)
-    for start, end in _secret_parts(text):
+    for start, _, end in base_spans(text):
         inside = np.flatnonzero((tokens.start >= start + edges[0]) & (tokens.end <= end + edges[0]))
         tags[inside] = INSIDE
         tags[inside[:1]] = BEGIN
