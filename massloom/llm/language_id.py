@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from massloom.llm.shared import map_batches
+from massloom.llm.shared import DRAWS, map_batches
 
 #: Longest run of characters, rows of the embedding table (a power of 2) and its width.
 LONGEST, ROWS, WIDTH = 3, 1 << 15, 16
@@ -170,9 +170,13 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     rows = labelled.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).where("doc_id is not null and text is not null and lang is not null")
-    # Row numbers up to a bound: each task keeps only that many of a language before the shuffle.
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("lang")), "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("turn", turn).where(F.col("turn") <= sample).drop("turn").distinct()
+    # A bound on the hash, set from the rows of each language, leaves about twice the sample for the window.
+    named = rows.select("doc_id", "lang").distinct()
+    sizes = named.groupBy("lang").agg(F.count("*").alias("of"))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(DRAWS))
+    near = named.join(sizes, "lang").where(drawn <= F.lit(DRAWS * 2 * sample) / F.col("of"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(drawn, "doc_id"))
+    chosen = near.withColumn("turn", turn).where(F.col("turn") <= sample).select("doc_id", "lang")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = counted(batch.column("text").to_pylist())

@@ -32,7 +32,8 @@ def wide_lines(docs: DataFrame, scratch: Scratch, min_sites: int) -> DataFrame:
 
     A line that a single site shows needs no sketch: smallest and largest site
     are equal. The pairs of line and site are made distinct where they are
-    read, so a line that a third of all documents hold arrives as a few rows.
+    read, before any of them is joined, so a line that a third of all documents
+    hold arrives as a few rows.
     """
     line = F.explode(F.array_distinct(F.transform(_lines(), _key))).alias("line")
     pairs = (
@@ -47,7 +48,7 @@ def wide_lines(docs: DataFrame, scratch: Scratch, min_sites: int) -> DataFrame:
         .where("low < high")
         .select("one", "two")
     )
-    shared = scratch.write(pairs.join(spread, ["one", "two"], "left_semi").distinct(), "line-sites")
+    shared = scratch.write(pairs.distinct().join(spread, ["one", "two"], "left_semi"), "line-sites")
     estimated = scratch.write(
         shared.groupBy("one", "two").agg(
             F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites")

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.shared import map_batches, whole_text
+from massloom.llm.shared import hashed_sample, map_batches, whole_text
 
 #: Bytes in a block, and in a dictionary at most.
 BLOCK, DICTIONARY = 1024, 112_640
@@ -107,17 +107,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     with a null, of other values or without a document are not used. With no
     usable label every score is 0.5; with one class only, the scores lean to it.
     """
-    chosen = None
-    for quality in (0, 1):
-        part = (
-            labels.where(F.col("quality") == quality)
-            .select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(quality).alias("quality"))
-            .where("doc_id is not null")
-            .distinct()
-            .orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id")
-            .limit(rows)
-        )
-        chosen = part if chosen is None else chosen.unionByName(part)
+    classes = [
+        hashed_sample(labels.where(F.col("quality") == q), rows, "quality").withColumn("quality", F.lit(q)) for q in (0, 1)
+    ]
+    chosen = classes[0].unionByName(classes[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     # At most 2 * rows pairs of numbers, so every task may have them.
     sample = texts.join(F.broadcast(chosen), "doc_id").withColumn(

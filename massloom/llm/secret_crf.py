@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.shared import map_batches, whole_text
+from massloom.llm.shared import hashed_sample, map_batches, whole_text
 
 # The patterns, and the least length of what they must match.
 ASSIGN = re.compile(
@@ -328,13 +328,7 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]]) -> Field | None:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     """Learns from at most ``sample`` documents, chosen by a hash of doc_id; None if they hold no secret."""
-    chosen = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-        .where("doc_id is not null")
-        .orderBy(F.xxhash64("doc_id", F.lit("secrets")), "doc_id")
-        .limit(sample)
-        .distinct()
-    )
+    chosen = hashed_sample(docs, sample, "secrets")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

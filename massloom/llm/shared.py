@@ -12,6 +12,8 @@ from massloom.session import scratch_path
 
 #: White space as the operators on words understand it: blank, tab to carriage return.
 WHITE = r"[\x20\x09-\x0D]"
+#: Values that a hash for drawing a sample can take.
+DRAWS = 1 << 40
 
 
 def whole_text(name: str = "text") -> Column:
@@ -28,6 +30,18 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def hashed_sample(ids: DataFrame, size: int, salt: str) -> DataFrame:
+    """At most ``size`` distinct values of doc_id, those with the smallest hashes; null is left out.
+
+    A bound on the hash, set from the number of values, leaves about twice as
+    many as are wanted, so the last step sorts a bounded table at any scale.
+    """
+    one = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(DRAWS))
+    bound = DRAWS * 2 * size // max(one.count(), 1)
+    return one.where(drawn <= bound).orderBy(drawn, "doc_id").limit(size)
+
+
 class Scratch:
     """Tables written in the shared folder; each can be removed once nothing reads it."""
 
