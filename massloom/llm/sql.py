@@ -18,17 +18,17 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ranked
 OP8 = r"""
 WITH cut AS (
   SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents
 ), named AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS core FROM cut
 ), wide AS (
   SELECT core FROM named WHERE core <> '' GROUP BY core HAVING count(DISTINCT source) >= 5
 ), marked AS (
-  SELECT doc_id, at, line, core IN (SELECT core FROM wide) AS removed FROM named
+  SELECT doc_id, pos, line, core IN (SELECT core FROM wide) AS removed FROM named
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT removed), '')) AS text_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '')) AS text_sha256
 FROM marked
 GROUP BY doc_id
 """
