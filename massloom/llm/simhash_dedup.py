@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +52,21 @@ def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
 
 
 def fingerprint(text: bytes, words: int, width: int) -> bytes:
-    """``width`` 64-bit words; a bit is 1 if it is set in over half of the shingles' hashes."""
+    """``width`` 64-bit words; a bit is 1 if it is set in over half of the shingles' hashes, repeats counted."""
+    return majority(shingle_hashes(text, words), width)
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct hashes of ``shingle_hashes``, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+def majority(pieces: Iterable[np.ndarray], width: int) -> bytes:
+    """``width`` 64-bit words; a bit is 1 if it is set in over half of the hashes."""
     counts = np.zeros((width, 64), np.int64)
     total = 0
     places = np.arange(8) * 256
-    for hashes in shingle_hashes(text, words):
+    for hashes in pieces:
         total += len(hashes)
         for word in range(width):
             mixed = hashes
@@ -106,21 +117,128 @@ def simhash_groups(docs: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
 
 
 #: Of ``similar_groups``: 64-bit words in a fingerprint, bits in a mask, masks.
-WIDTH, MASK_BITS, MASKS = 4, 16, 40
+WIDTH, MASK_BITS, MASKS = 4, 16, 80
+#: Standard deviations by which a candidate's differing bits may exceed what is expected at the similarity.
+MARGIN = 3
+#: Texts and shingles of one candidate group that are compared in one task, at most twice as many.
+PART_TEXTS, PART_SHINGLES = 1000, 1_000_000
+
+
+def _digest(hashes: np.ndarray) -> bytes:
+    return hashlib.md5(hashes.astype("<u8").tobytes(), usedforsecurity=False).digest()
+
+
+def set_prints(docs: DataFrame, words: int, width: int) -> DataFrame:
+    """doc_id, ``code`` of every whole text, ``digest`` of its distinct shingles and ``n``, their number."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codes, digests, sizes = [], [], []
+        for text in batch.column("bytes").to_pylist():
+            hashes = shingle_set(text, words)
+            codes.append(fingerprint(text, words, width))
+            digests.append(_digest(hashes))
+            sizes.append(len(hashes))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(codes, pa.binary()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())],
+            names=["doc_id", "code", "digest", "n"],
+        )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("bytes"))
+    return map_batches(rows, run, "doc_id long, code binary, digest binary, n long")
+
+
+def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the sets that are linked where their Jaccard similarity is ``similarity`` or more.
+
+    A set that is reached is not compared again with those reached before it.
+    """
+    links: list[tuple[int, int]] = []
+    sizes = np.array([len(s) for s in sets], np.int64)
+    values, elements = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+    own = np.split(elements, np.cumsum(sizes)[:-1]) if len(sets) else []
+    mark = np.zeros(len(values), np.int32)
+    left = np.flatnonzero(sizes)
+    flat = edges = None
+    reached: list[int] = []
+    while len(left):
+        if not reached:
+            reached, left, flat = [int(left[0])], left[1:], None
+            continue
+        one = reached.pop()
+        if flat is None:
+            flat = np.concatenate([own[k] for k in left])
+            edges = np.cumsum(sizes[left]) - sizes[left]
+        mark[own[one]] = 1
+        shared = np.add.reduceat(mark[flat], edges)
+        mark[own[one]] = 0
+        near = shared / (sizes[one] + sizes[left] - shared) >= similarity
+        if near.any():
+            links += [(one, k) for k in left[near].tolist()]
+            reached += left[near].tolist()
+            left, flat = left[~near], None
+    return links
 
 
 def similar_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
-    """Groups by the similarity of 5-word shingles that 256-bit fingerprints estimate.
+    """doc_id, code, component_id (smallest doc_id reachable over links) for every row of ``docs``.
 
-    Sets with Jaccard similarity s have cosine 2 s / (1 + s) where they are of
-    one size, and their fingerprints differ in arccos(cosine) / pi of the bits:
-    39 of 256 at 0.8. Random masks find a link at 0.8 with 0.95, one at 0.9
-    with over 0.999; more ``MASK_BITS`` and ``MASKS`` suit more documents.
+    Texts are linked if the Jaccard similarity of their sets of 5-word shingles
+    is ``similarity`` or more. 256-bit fingerprints only name
+    candidates: sets of one size with similarity s have cosine 2 s / (1 + s)
+    and differ in arccos(cosine) / pi of the bits, 39 at 0.8; candidates may
+    differ in three standard deviations more. Inside a group of candidates the
+    sets themselves decide, all with all but those connected already; a large
+    group is dealt into parts, every two of which meet. So every link is exact,
+    and one is lost only if no chain of candidates joins its ends.
+
+    Equal sets are one point. Rows that are repeated or without doc_id count as
+    in ``near_groups``; texts without a word are equal.
     """
     cosine = 2 * similarity / (1 + similarity)
     bits = 64 * WIDTH
-    bound = round(bits * float(np.arccos(cosine)) / np.pi)
-    return near_groups(docs, random_masks(bits, MASK_BITS, MASKS), bound, words, WIDTH)
+    share = float(np.arccos(cosine)) / np.pi
+    bound = round(bits * share + MARGIN * (bits * share * (1 - share)) ** 0.5)
+    scratch = Scratch(docs.sparkSession)
+    prints = scratch.write(set_prints(docs, words, WIDTH), "fingerprints")
+    points = scratch.write(
+        prints.where("doc_id is not null").groupBy("code", "digest").agg(F.min("doc_id").alias("point"), F.min("n").alias("n")),
+        "sets",
+    )
+    reps = scratch.write(points.groupBy("code").agg(F.min("point").alias("rep")), "codes")
+    found = components(linked(reps, random_masks(bits, MASK_BITS, MASKS), bound), scratch)
+    named = reps.join(found, reps["rep"] == found["id"], "left").select("code", F.coalesce("component", "rep").alias("near"))
+    grouped = scratch.write(points.join(named, "code").select("near", "digest", "point", "n"), "candidates")
+    parts = F.greatest(F.ceil(F.count("*") / PART_TEXTS), F.ceil(F.sum("n") / PART_SHINGLES), F.lit(1)).cast("int")
+    several = grouped.groupBy("near").agg(F.count("*").alias("texts"), parts.alias("parts")).where("texts > 1")
+    asked = grouped.join(several, "near").select("near", "digest", F.col("point").alias("doc_id"), "parts")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("bytes"))
+
+    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t, words) for t in batch.column("bytes").to_pylist()]
+        # Another text of the same doc_id is another point.
+        own = pa.array([_digest(s) == d for s, d in zip(sets, batch.column("digest").to_pylist(), strict=True)], pa.bool_())
+        cells = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
+        names = ["near", "parts", "digest", "doc_id"]
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], cells], names=[*names, "cells"]).filter(own)
+
+    sets = map_batches(texts.join(asked, "doc_id").distinct(), hashed, "near long, parts int, digest binary, doc_id long, cells binary")
+    own = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.least(own, j) * F.col("parts") + F.greatest(own, j)
+    )
+
+    def verified(table: pa.Table) -> pa.Table:
+        ids = table.column("doc_id").to_pylist()
+        links = similar_links([np.frombuffer(c, "<u8") for c in table.column("cells").to_pylist()], similarity)
+        return pa.table({k: pa.array([ids[one[at]] for one in links], pa.int64()) for at, k in enumerate("ab")})
+
+    dealt = sets.select("near", F.explode(meets).alias("part"), "doc_id", "cells")
+    links = dealt.groupBy("near", "part").applyInArrow(verified, "a long, b long")
+    joined = components(links, scratch)
+    final = points.join(joined, points["point"] == joined["id"], "left").select(
+        "code", "digest", F.coalesce("component", "point").alias("component_id")
+    )
+    return prints.join(final, ["code", "digest"], "left").select("doc_id", "code", "component_id")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:

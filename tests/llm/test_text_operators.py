@@ -210,6 +210,44 @@ def test_similar_documents_are_found(spark):
     assert all(got[i] == i for i in got if i not in near)
 
 
+def _brute_similar(texts, similarity=0.8, words=5):
+    """Smallest doc_id reachable over pairs of exact similarity, by a plain search."""
+    sets = {}
+    for i, text in texts.items():
+        tokens = text.lower().split()
+        sets[i] = {tuple(tokens[k : k + words]) for k in range(max(1, len(tokens) - words + 1))}
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("limit", [1000, 30])
+def test_similar_groups_equal_brute_force_around_the_bound(spark, monkeypatch, limit):
+    """Pairs from 0.74 to 0.9, and one group of texts near a common one that is dealt into parts."""
+    monkeypatch.setattr(simhash_dedup, "PART_TEXTS", limit)
+    rng = random.Random(12)
+    word = lambda: f"{rng.randrange(10**6)}"
+    texts = {}
+    for k in range(150):
+        words = [word() for _ in range(200)]
+        texts[2 * k] = " ".join(words)
+        texts[2 * k + 1] = " ".join([*words[: 190 - k % 20], *[word() for _ in range(10 + k % 20)]])
+    words = [word() for _ in range(150)]
+    for k in range(100):
+        cut = rng.randrange(28)
+        texts[1000 + k] = " ".join([*words[: 150 - cut], *[word() for _ in range(cut)]])
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_groups(frame).collect()}
+    brute = _brute_similar(texts)
+    linked = [i for i in brute if brute[i] != i]
+    assert all(got[i] in (i, brute[i]) for i in brute)  # no link below the bound
+    assert sum(got[i] == brute[i] for i in linked) >= 0.97 * len(linked) > 100
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(60)] + [(1000, 1000 + k) for k in range(1, 80)] + [(500, 500)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long"), Scratch(spark)).collect()}
