@@ -129,13 +129,13 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def set_prints(docs: DataFrame, words: int, width: int) -> DataFrame:
-    """doc_id, ``code`` of every whole text, ``digest`` of its distinct shingles and ``n``, their number."""
+    """doc_id, ``code`` and ``digest`` of the distinct shingles of every whole text, and ``n``, their number."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes, digests, sizes = [], [], []
         for text in batch.column("bytes").to_pylist():
             hashes = shingle_set(text, words)
-            codes.append(fingerprint(text, words, width))
+            codes.append(majority([hashes], width))
             digests.append(_digest(hashes))
             sizes.append(len(hashes))
         return pa.RecordBatch.from_arrays(
@@ -183,7 +183,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
     """doc_id, code, component_id (smallest doc_id reachable over links) for every row of ``docs``.
 
     Texts are linked if the Jaccard similarity of their sets of 5-word shingles
-    is ``similarity`` or more. 256-bit fingerprints only name
+    is ``similarity`` or more. 256-bit fingerprints of the sets only name
     candidates: sets of one size with similarity s have cosine 2 s / (1 + s)
     and differ in arccos(cosine) / pi of the bits, 39 at 0.8; candidates may
     differ in three standard deviations more. Inside a group of candidates the

@@ -248,6 +248,22 @@ def test_similar_groups_equal_brute_force_around_the_bound(spark, monkeypatch, l
     assert sum(got[i] == brute[i] for i in linked) >= 0.97 * len(linked) > 100
 
 
+def test_repeats_do_not_count_in_similar_groups(spark):
+    """Texts that share only a repeated passage stay apart; equal sets with other repeat counts are one group."""
+    rng = random.Random(13)
+    word = lambda: f"{rng.randrange(10**6)}"
+    frame = []
+    for k in range(10):
+        passage = " ".join(word() for _ in range(20))
+        own = [" ".join(word() for _ in range(104)) for _ in range(3)]
+        ring = f"{passage} {own[2]} {passage}"
+        frame += [(4 * k + at, f"{(passage + ' ') * 40}{own[at]}") for at in range(2)]
+        frame += [(1000 + 2 * k, f"{ring} {ring}"), (1001 + 2 * k, f"{ring} {(passage + ' ') * 60}{ring}")]
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_groups(spark.createDataFrame(frame, "doc_id long, text string")).collect()}
+    assert all(got[i] == i for i in got if i < 1000)
+    assert all(got[1001 + 2 * k] == 1000 + 2 * k for k in range(10))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(60)] + [(1000, 1000 + k) for k in range(1, 80)] + [(500, 500)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long"), Scratch(spark)).collect()}
