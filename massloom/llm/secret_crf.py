@@ -3,7 +3,7 @@
 The field tags tokens as begin of a secret, inside or outside. A token's scores
 come from tables: its shape, its own word, the words and shapes next to it, and
 what the file is like. It learns from the spans the patterns find in a bounded
-sample of documents, so it needs no labels, and it finds what is written like a
+sample of the documents with any, beside a sample of the others, so it needs no labels, and it finds what is written like a
 secret where the patterns are too strict. Tags are decoded by Viterbi. Most
 tokens are certainly outside: whatever their neighbours' tags, another tag
 would cost more than it could gain. They split the chain, and only the short
@@ -13,6 +13,7 @@ runs between them are decoded; the result is that of the whole chain.
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.shared import hashed_sample, map_batches, whole_text
+from massloom.llm.shared import Scratch, hashed_sample, map_batches, whole_text
+
+_LOG = logging.getLogger(__name__)
 
 # The patterns, and the least length of what they must match.
 ASSIGN = re.compile(
@@ -36,7 +39,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "crf")
 
 OUTSIDE, BEGIN, INSIDE = range(3)
-#: Documents in the sample, windows of one document and tokens in a window.
+#: Documents in the sample (a quarter of them with a secret, where there are so many), windows of one document and
+#: tokens in a window.
 SAMPLE, WINDOWS, WINDOW = 4000, 4, 24
 #: Steps of training, step size, pull to zero.
 STEPS, RATE, PULL = 150, 0.5, 1e-3
@@ -261,13 +265,21 @@ def added_spans(field: Field, texts: list[str]) -> list[list[tuple[int, int]]]:
 def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     """(table rows, tags) of windows around what the patterns find; of every fourth other text, one window.
 
-    Of a very long text the first piece is used.
+    Of a very long text the piece with the first span is used, or the first
+    piece. Behind a short text more gaps fill the window.
     """
+    base, at = base_spans(text), 0
+    for _, offset, piece in _pieces([text]):
+        if base and offset <= base[0][0] < offset + len(piece):
+            text, at = piece, offset
     _, joined, edges = next(_groups([text]))
     tokens = tokens_of(joined, edges)
+    if len(tokens.start) < WINDOW:
+        tokens = tokens_of(joined + _GAP * (WINDOW // 2), edges)
     tags = np.zeros(len(tokens.start), np.int8)
-    for start, _, end in base_spans(text):
-        inside = np.flatnonzero((tokens.start >= start + edges[0]) & (tokens.end <= end + edges[0]))
+    for start, _, end in base:
+        low, high = start - at + edges[0], end - at + edges[0]
+        inside = np.flatnonzero((tokens.start >= low) & (tokens.end <= high) & ~tokens.gap)
         tags[inside] = INSIDE
         tags[inside[:1]] = BEGIN
     hits = np.flatnonzero(tags == BEGIN)[:WINDOWS]
@@ -284,7 +296,6 @@ def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def train(windows: list[tuple[np.ndarray, np.ndarray]]) -> Field | None:
     """Maximum likelihood by AdaGrad over all windows, forward and backward sums for all at once."""
-    windows = [w for w in windows if len(w[0]) == WINDOW]
     if not any((t == BEGIN).any() for _, t in windows):
         return None
     rows, tags = np.stack([r for r, _ in windows]), np.stack([t for _, t in windows]).astype(int)
@@ -327,10 +338,23 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]]) -> Field | None:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Learns from at most ``sample`` documents, chosen by a hash of doc_id; None if they hold no secret."""
-    chosen = hashed_sample(docs, sample, "secrets")
+    """Learns from at most ``sample`` documents, chosen by a hash of doc_id; None if no document holds a secret.
+
+    All documents are looked through for secrets first, so the sample holds
+    documents with one however rare they are.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hit = pa.array([bool(base_spans(t)) for t in batch.column("text").to_pylist()], pa.bool_())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), hit], names=["doc_id", "hit"])
+
+    scratch = Scratch(docs.sparkSession)
+    seen = scratch.write(map_batches(rows, look, "doc_id long, hit boolean"), "secrets")
+    quarter = max(1, sample // 4)
+    drawn = [hashed_sample(seen.where(w), n, "secrets") for w, n in (("hit", quarter), ("not hit", sample - quarter))]
+    chosen = drawn[0].unionByName(drawn[1]).distinct()
+
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, cells, tags = [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -345,12 +369,16 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
 
     # The sample bounds both the broadcast ids and the windows that come back.
     got = map_batches(rows.join(F.broadcast(chosen), "doc_id"), cut, "doc_id long, cells binary, tags binary").collect()
-    return train(
+    field = train(
         [
             (np.frombuffer(c, "<i4").reshape(-1, len(SIZES)).astype(np.int64), np.frombuffer(t, np.int8))
             for _, c, t in sorted((r.doc_id, bytes(r.cells), bytes(r.tags)) for r in got)
         ]
     )
+    scratch.drop(seen)
+    if field is None:
+        _LOG.warning("The patterns find no secret to learn from: no field, and the scan adds no spans to theirs.")
+    return field
 
 
 def scan(docs: DataFrame, field: Field | None) -> DataFrame:

@@ -419,6 +419,18 @@ def test_secret_scan_of_odd_rows(odd, none, docs, rows):
         assert set(named.split(",")) - {""} <= set(g.spans.split(","))
 
 
+def test_field_is_learned_from_rare_secrets_in_short_texts(spark, caplog):
+    """A dozen secrets among 3,000 documents, in texts shorter than a window; without any, that is reported."""
+    rng = random.Random(5)
+    value = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(24))
+    frame = [(k, f"password={value()}" if k % 250 == 7 else f"plain words number {k} and nothing else") for k in range(3000)]
+    docs = spark.createDataFrame(frame, "doc_id long, text string")
+    field = secret_crf.fit(docs, 40)
+    (spans,) = secret_crf.added_spans(field, [f"password={value()}"])
+    assert len(spans) == 1
+    assert secret_crf.fit(docs.where("doc_id % 250 <> 7"), 40) is None and "no secret" in caplog.text
+
+
 # --- quality
 
 
