@@ -385,7 +385,8 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_crf, base_sha256, spans for every row of ``docs``.
 
     A span is kind:start:end in code points, end exclusive, ordered by start
-    and then kind. Spans the field adds do not overlap those of the patterns.
+    and then kind. A span the field adds may reach beyond one of the
+    patterns; inside one it is left out.
     A null text counts as empty and has none. Repeated rows give repeated rows.
     """
 
@@ -395,7 +396,7 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
         out: list[list] = [[] for _ in range(6)]
         for text, added in zip(texts, more, strict=True):
             base = base_spans(text)
-            new = [(s, 3, e) for s, e in added if all(e <= bs or s >= be for bs, _, be in base)]
+            new = [(s, 3, e) for s, e in added if not any(bs <= s and e <= be for bs, _, be in base)]
             named = [[f"{KINDS[k]}:{s}:{e}" for s, k, e in spans] for spans in (base, sorted(base + new))]
             for k in range(3):
                 out[k].append(sum(b[1] == k for b in base))

@@ -431,6 +431,22 @@ def test_field_is_learned_from_rare_secrets_in_short_texts(spark, caplog):
     assert secret_crf.fit(docs.where("doc_id % 250 <> 7"), 40) is None and "no secret" in caplog.text
 
 
+def test_spans_beyond_those_of_the_patterns_stay(spark):
+    """A span that holds one of the patterns is added beside it, one inside it is not."""
+    token = "sk_live_0123456789abcdef0123XYZ"
+    docs = spark.createDataFrame([(1, f"use {token} here"), (2, "use 0123456789abcdef0123 here")], "doc_id long, text string")
+    field = secret_crf.Field(np.zeros((secret_crf.STARTS[-1], 3)), np.zeros((3, 3)))
+    # Tokens with digits of 20 characters and more begin a secret, all others are outside.
+    field.rows[secret_crf.STARTS[7] :, secret_crf.BEGIN] = -10
+    for changes in range(3):
+        for size in (5, 6):
+            field.rows[secret_crf.STARTS[7] + (size * 3 + changes) * 2 + 1, secret_crf.BEGIN] = 10
+    field.rows[secret_crf.STARTS[7] :, secret_crf.INSIDE] = -10
+    got = {r.doc_id: r for r in secret_crf.scan(docs, field).collect()}
+    assert (got[1].spans, got[1].n_crf) == ("crf:4:35,hex:12:32", 1)
+    assert (got[2].spans, got[2].n_crf) == ("hex:4:24", 0)
+
+
 # --- quality
 
 
