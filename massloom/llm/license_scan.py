@@ -62,15 +62,94 @@ TEMPLATES = (
         "the following conditions are met:",
     ),
     ("proprietary", "All rights reserved."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GPL-3.0", "Licensed under the GNU General Public License v3.0."),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License v3.0."),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License v3.0."),
+    (
+        "LGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-3.0-or-later",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.0-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    ("MPL-2.0", "Licensed under the Mozilla Public License 2.0."),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    ("EPL-2.0", "Licensed under the Eclipse Public License 2.0."),
+    ("ISC", "Released under the ISC License."),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    ),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "This work is licensed under a Creative Commons CC0 1.0 Universal License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    (
+        "CC-BY-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    (
+        "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
 )
 #: Every template holds one of these.
-CUES = re.compile(r"licen[sc]|copyright|rights reserved|permission is|redistribut|free software", re.IGNORECASE)
+CUES = re.compile(r"licen[sc]|copyright|rights reserved|permission (?:is|to use)|redistribut|free software|public domain", re.IGNORECASE)
 
 #: Characters around a cue that belong to its region; a longer region is looked at in parts that overlap by as many.
 REACH = 700
 #: Templates that are aligned with a region in one turn, and the part of a template's words that may differ.
 TRIED, DIFFERENT = 6, 0.1
 LEVEL = 12
+#: Words that say which license it is: where one of them differs, it is another license or version.
+_NAMING = re.compile(
+    r"^v?\d|^(?:mit|isc|mpl|epl|lesser|affero|mozilla|eclipse|boost|apache|creative|commons|zero)$"
+    r"|gpl|bsd|cc0|^(?:cc-)?by-|attribution|non-?commercial|no-?deriv|share-?alike"
+)
 _WORD = re.compile(r"[^\W_]+(?:[-./'][^\W_]+)*")
 
 
@@ -180,8 +259,7 @@ def notices(text: str) -> list[Notice]:
                 if edits > int(len(template) * DIFFERENT) or first >= last:
                     continue
                 missing, added = differences(template, words[first:last])
-                # Another number is another version.
-                if not any(w[0].isdigit() for w in missing + added):
+                if not any(_NAMING.search(w) for w in missing + added):
                     good.append((edits - len(template), edits, spans[first][0], spans[last - 1][1], name, saved, missing, added))
             if not good:
                 break

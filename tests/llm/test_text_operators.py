@@ -618,6 +618,27 @@ def test_license_scan_finds_every_planted_line(docs, rows, odd, none):
     assert license_scan.scan(odd).count() == license_scan.scan(none).count() == 0
 
 
+@pytest.mark.parametrize(("license", "text"), license_scan.TEMPLATES)
+def test_every_license_wording_names_its_own(license, text):
+    assert [n.license for n in license_scan.notices(f"Words before it.\n{text}\nWords behind it.")] == [license]
+
+
+def test_another_license_is_not_taken_for_a_near_one():
+    """Words that name the license must agree, in wordings of which one word may differ otherwise."""
+    named = {
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 4.": [],
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": ["CC-BY-NC-SA-4.0"],
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": ["CC-BY-ND-4.0"],
+        "This work is licensed under a Creative Commons NonCommercial 4.0 International License.": [],
+        "This book is licensed under a Creative Commons Attribution 4.0 International License.": ["CC-BY-4.0"],
+        "Licensed under the Mozilla Public License 2.0.": ["MPL-2.0"],
+        "Licensed under the BSD 3-Clause License.": ["BSD-3-Clause"],
+    }
+    assert {t: [n.license for n in license_scan.notices(t)] for t in named} == named
+
+
 # --- languages
 
 
