@@ -1,15 +1,17 @@
 """License scan by conditional compression.
 
-Regions of a text that hold a word of license notices are candidates. Each is
-compressed alone and with every template as a raw zstandard dictionary; the
-templates that save most are aligned with the region word by word, and the
-exact differences in wording confirm or refuse them. A confirmed notice is
+Regions of a text that hold a word of license notices are candidates. Templates
+of which a region lacks too many words are out. With each of the others as a raw
+zstandard dictionary the region is compressed, and alone; those that save bytes
+are aligned with the region word by word, and the exact differences in wording
+confirm or refuse them. A confirmed notice is
 taken out and the rest is looked at again, until nothing more is confirmed.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -142,8 +144,8 @@ CUES = re.compile(r"licen[sc]|copyright|rights reserved|permission (?:is|to use)
 
 #: Characters around a cue that belong to its region; a longer region is looked at in parts that overlap by as many.
 REACH = 700
-#: Templates that are aligned with a region in one turn, and the part of a template's words that may differ.
-TRIED, DIFFERENT = 6, 0.1
+#: The part of a template's words that may differ.
+DIFFERENT = 0.1
 LEVEL = 12
 #: Words that say which license it is: where one of them differs, it is another license or version.
 _NAMING = re.compile(
@@ -171,6 +173,7 @@ def _words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
 
 
 _WORDINGS = [(name, text, _words(text)[0]) for name, text in TEMPLATES]
+_COUNTS = [Counter(words) for _, _, words in _WORDINGS]
 _engines: list[zstandard.ZstdCompressor] = []
 
 
@@ -185,13 +188,23 @@ def _compressors() -> list[zstandard.ZstdCompressor]:
     return _engines
 
 
-def ranked(block: str) -> list[tuple[int, int]]:
+def possible(words: list[str]) -> list[int]:
+    """Templates that may be confirmed: a word that is not in the text is an edit at least."""
+    there = Counter(words)
+    return [
+        k for k, (_, _, template) in enumerate(_WORDINGS) if (_COUNTS[k] - there).total() <= int(len(template) * DIFFERENT)
+    ]
+
+
+def ranked(block: str, templates: list[int]) -> list[tuple[int, int]]:
     """(bytes saved, template); first those that save most for their length."""
+    if not templates:
+        return []
     alone, *given = _compressors()
     # The last bytes of an input are never matched, so some that do not matter stand behind it.
     data = block.encode("utf-8", "replace") + b"\n" * 16
     plain = len(alone.compress(data))
-    saved = [(plain - len(g.compress(data)), k) for k, g in enumerate(given)]
+    saved = [(plain - len(given[k].compress(data)), k) for k in templates]
     return sorted(saved, key=lambda x: (-x[0] / len(TEMPLATES[x[1]][1]), x[1]))
 
 
@@ -251,7 +264,7 @@ def notices(text: str) -> list[Notice]:
         while True:
             words, spans = _words(block)
             good = []
-            for saved, k in ranked(block)[:TRIED]:
+            for saved, k in ranked(block, possible(words)):
                 name, _, template = _WORDINGS[k]
                 if saved <= 0 or not words:
                     continue

@@ -639,6 +639,23 @@ def test_another_license_is_not_taken_for_a_near_one():
     assert {t: [n.license for n in license_scan.notices(t)] for t in named} == named
 
 
+@pytest.mark.parametrize("number", [2, 14])
+def test_look_alikes_do_not_hide_a_license(number):
+    """Wordings that cannot be confirmed, of other versions or with words put in, rank above an edited notice beside them."""
+    license, text = license_scan.TEMPLATES[number]
+    words = text.split()
+    edits = int(len(words) * license_scan.DIFFERENT)
+    for k in range(edits):
+        words[(k + 1) * (len(words) // (edits + 1))] = "zq" + "abcdef"[k] * 4
+    others = [
+        re.sub(r"[0-9]\b", "9", t) if re.search(r"[0-9]\b", t) else re.sub(r"(\w+) (\w+)( \w+ )", r"\1 xqj \2 vkw\3", t)
+        for k, (_, t) in enumerate(license_scan.TEMPLATES[:16])
+        if k != number
+    ]
+    got = license_scan.notices("\n".join([*others, " ".join(words)]))
+    assert [n.license for n in got] == ["proprietary", license] and len(got[1].missing) == edits
+
+
 # --- languages
 
 
