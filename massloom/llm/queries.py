@@ -15,9 +15,12 @@ from massloom.llm import (
     language_id,
     license_scan,
     line_dedup,
+    page_extract,
+    phrase_mining,
     quality_zstd,
     secret_crf,
     sentencepiece_codec,
+    shared_search,
     simhash_dedup,
 )
 from massloom.session import ship_package
@@ -102,6 +105,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    return shared_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of each language."""
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"), 2000)
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return page_extract.extract(pages, page_extract.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,5 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_license_scan,
         op10_language_id,
+        op11_ranked_search,
+        op12_phrase_mining,
+        op13_html_extraction,
     )
 }
