@@ -73,8 +73,8 @@ WITH docs AS (
          generate_subscripts(string_split_regex(t, '[.,;:!?\x0A-\x0D]'), 1) AS p
   FROM docs
 ), cut AS (
-  SELECT lang, d, p, unnest(list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '')) AS w,
-         generate_subscripts(list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> ''), 1) AS pos
+  SELECT lang, d, p, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) AS w,
+         generate_subscripts(regexp_extract_all(piece, '[^\x20\x09]+'), 1) AS pos
   FROM pieces
 ), words AS MATERIALIZED (
   SELECT lang, w AS w1, lead(w, 1) OVER run AS w2, lead(w, 2) OVER run AS w3 FROM cut WINDOW run AS (PARTITION BY d, p ORDER BY pos)
