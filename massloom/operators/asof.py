@@ -22,9 +22,12 @@ def last_marked(
     A run of any length is cut into blocks of positions. Inside a block an
     ordinary window carries the value forward; across blocks the last value of
     each block is carried over a table ``block_rows`` times smaller.
+
+    Every row stays. One without position stands nowhere: it neither gives a
+    value to others nor gets one. Rows without group are a group of their own.
     """
     blocked = df.withColumn("_block", F.floor(F.col(position) / block_rows)).withColumn(
-        "_marked", F.when(marked, F.col(value))
+        "_marked", F.when(marked & F.col(position).isNotNull(), F.col(value))
     )
     inside = (
         Window.partitionBy(group, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
@@ -38,9 +41,12 @@ def last_marked(
         .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
         .drop("_last")
     )
+    carried = carried.select(F.col(group).alias("_of"), F.col("_block").alias("_in"), "_carry")
+    same = F.col(group).eqNullSafe(F.col("_of")) & F.col("_block").eqNullSafe(F.col("_in"))
+    found = F.when(F.col(position).isNotNull(), F.coalesce("_seen", "_carry"))
     return (
         blocked.withColumn("_seen", F.last("_marked", ignorenulls=True).over(inside))
-        .join(carried, [group, "_block"])
-        .withColumn(name, F.coalesce("_seen", "_carry"))
-        .drop("_block", "_marked", "_seen", "_carry")
+        .join(carried, same, "left")
+        .withColumn(name, found)
+        .drop("_block", "_marked", "_seen", "_of", "_in", "_carry")
     )

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from massloom.functions.numbers import zero_padded
-from massloom.session import durable, forget
+from massloom.session import remove
 
 
 def write_repositories(df: DataFrame, path: str) -> None:
@@ -17,25 +18,40 @@ def write_repositories(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, order: Sequence[str] = ()) -> None:
-    """Replaces just the partitions that ``df`` holds.
+def _clustered(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of a value together and in order.
 
-    The rows are range-partitioned on ``by`` and ``order`` first, so that a
-    value has a file or two, and a very large one is still written by many
-    tasks. They are written aside before, since range borders are sampled.
+    One shuffle by hash, whose partitions Spark evens out when it knows their
+    sizes: small ones are merged, and one that a large value fills is cut, so
+    that many tasks write it, each a file in order.
     """
-    keys = [by, *order]
-    aside = durable(df, "partitioned")
+    return df.hint("rebalance", *[F.col(c) for c in by]).sortWithinPartitions(*by, *order)
+
+
+def write_partitioned(df: DataFrame, path: str, by: str, order: Sequence[str] = ()) -> None:
+    """Replaces just the partitions that ``df`` holds; rows pass one shuffle and are written once."""
     (
-        aside.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        _clustered(df, [by], order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(by)
         .parquet(path)
     )
-    forget(aside)
+
+
+def remove_partitions(spark: SparkSession, path: str, by: str, values: Sequence[str]) -> None:
+    """Removes the rows of these values of ``by`` from a table that ``write_partitioned`` wrote, if it has any."""
+    try:
+        table = spark.read.schema(f"`{by}` string").option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    # Partition folders are found by their value, whatever way Spark has spelled it.
+    held = table.where(F.col(by).isin(*values)).select(F.col("_metadata.file_path").alias("file")).distinct()
+    for row in held.toLocalIterator():
+        remove(spark, unquote(row["file"]))
 
 
 def write_runs(df: DataFrame, path: str, order: Sequence[str] = ("scan_number",), by: str = "basename") -> None:
@@ -60,16 +76,8 @@ def append_new(df: DataFrame, path: str, by: str, order: Sequence[str] = ()) ->
 
 
 def write_csv_by(df: DataFrame, path: str, by: Sequence[str], order: Sequence[str]) -> None:
-    """CSV with header, one folder per value of ``by``, rows in ``order``."""
-    aside = durable(df, "csv")
-    (
-        aside.repartitionByRange(*by, *order)
-        .sortWithinPartitions(*by, *order)
-        .write.mode("overwrite")
-        .partitionBy(*by)
-        .csv(path, header=True)
-    )
-    forget(aside)
+    """CSV with header, one folder per value of ``by``, rows of a file in ``order``."""
+    _clustered(df, by, order).write.mode("overwrite").partitionBy(*by).csv(path, header=True)
 
 
 def split_label(accession: str = "accession", split: str = "split_id"):

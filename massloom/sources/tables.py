@@ -6,7 +6,6 @@ import csv
 import json
 from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,22 +13,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from massloom.functions.names import is_blank
+from massloom.functions.types import as_type, common_type
+from massloom.sources.files import first_lines
 
 
-def csv_headers(spark: SparkSession, path: str | list[str]) -> list[tuple[str, tuple[str, ...]]]:
-    """(file, column names) of every CSV file with a header line, in order of the files.
+def csv_headers(spark: SparkSession, path: str | list[str]) -> list[tuple[str, tuple[str, ...] | None]]:
+    """(file, column names) of every CSV file, in order of the files; None for a file without a line.
 
-    One pass over the lines keeps one line per file. The driver lists the files
-    of any read anyhow; here it also holds their headers.
+    Tasks read the first line of each file and no more. The driver, which lists
+    the files of any read anyhow, holds each distinct header once, beside the
+    names of its files.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        "value",
-        F.monotonically_increasing_id().alias("at"),
-    )
-    first = lines.where((F.col("start") == 0) & (F.col("value") != "")).groupBy("file").agg(F.min_by("value", "at").alias("line"))
-    return [(r.file, tuple(next(csv.reader([r.line.lstrip("\ufeff")])))) for r in sorted(first.collect())]
+    lines = first_lines(spark, path).groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("files"))
+    found: list[tuple[str, tuple[str, ...] | None]] = []
+    for row in lines.toLocalIterator():
+        header = None if row["line"] is None else tuple(next(csv.reader([row["line"]])))
+        found += [(file, header) for file in row["files"]]
+    return sorted(found, key=lambda x: x[0])
 
 
 def _read_alike(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -44,7 +44,8 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     alike: dict[tuple[str, ...], list[str]] = {}
     for file, header in csv_headers(spark, path):
-        alike.setdefault(header, []).append(file)
+        if header is not None:
+            alike.setdefault(header, []).append(file)
     if not alike:
         return _read_alike(spark, [path] if isinstance(path, str) else path)
     return union_relaxed([_read_alike(spark, files) for files in alike.values()])
@@ -52,7 +53,7 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def source_name(file: str) -> str:
     """The file's name without folder and suffix."""
-    return unquote(file).rsplit("/", 1)[-1].removesuffix(".csv")
+    return file.rsplit("/", 1)[-1].removesuffix(".csv")
 
 
 def read_by_source(
@@ -61,12 +62,13 @@ def read_by_source(
     """Rows of the files that have all contract columns, and one line per file.
 
     The rows carry ``source``, the file's name; the lines are (source, missing
-    column names). Every file is read by its own header.
+    column names), all of them for a file without a header. Every file is read
+    by its own header.
     """
     alike: dict[tuple[str, ...], list[str]] = {}
     lines = []
     for file, header in csv_headers(spark, path):
-        missing = [c for c in contract.names if c not in header]
+        missing = [c for c in contract.names if c not in (header or ())]
         lines.append((source_name(file), missing))
         if not missing:
             alike.setdefault(header, []).append(file)
@@ -96,8 +98,31 @@ def read_table(spark: SparkSession, path: str, contract: T.StructType, by: str |
 
 
 def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name; missing columns are null, types are widened."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Union by column name, in order of first appearance; missing columns are null.
+
+    A column has the narrowest type that holds its values of all frames: numbers
+    are widened, a number beside a text becomes text, structs and arrays are
+    brought together field by field (``functions/types.py``).
+    """
+    spark = frames[0].sparkSession
+    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    names: dict[str, str] = {}
+    kinds: dict[str, T.DataType] = {}
+    for frame in frames:
+        for field in frame.schema.fields:
+            key = fold(field.name)
+            names.setdefault(key, field.name)
+            kinds[key] = common_type(kinds[key], field.dataType) if key in kinds else field.dataType
+
+    def shaped(frame: DataFrame) -> DataFrame:
+        own = {fold(f.name): f for f in frame.schema.fields}
+        columns = []
+        for key, name in names.items():
+            column = as_type(frame[f"`{own[key].name}`"], own[key].dataType, kinds[key]) if key in own else F.lit(None).cast(kinds[key])
+            columns.append(column.alias(name))
+        return frame.select(*columns)
+
+    return reduce(DataFrame.unionAll, map(shaped, frames))
 
 
 def sized_samples(files: DataFrame) -> DataFrame:
