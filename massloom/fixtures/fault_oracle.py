@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from massloom.fixtures.oracle import _BIN, _NO_PEAKS, _scan_eav, _sql
+from massloom.fixtures.oracle import _BIN, _NO_PEAKS, ORACLE, _scan_eav, _sql
 
 _GAPS = """gaps AS (SELECT CASE WHEN event_id % 17 <> 4 THEN basename END AS basename,
  CASE WHEN event_id % 13 <> 5 THEN event_id END AS scan_seq, scan_number, ms_level FROM v_scans WHERE ms_level IS NOT NULL)"""
@@ -26,6 +26,10 @@ FAULT_ORACLE: dict[str, str] = {
  FROM (SELECT *, substr(accession, 3)::INTEGER % 7 AS s FROM v_replicates) r,
  (VALUES ('one by one'), ('at once'), ('file by file')) AS ways(way) WHERE s IN (2, 5, 6)""",
     ),
+    "batch_splits_even": ORACLE["batch_splits"].replace(
+        "f.size_bytes FROM v_replicates r",
+        "CASE WHEN length(remote_path) % 11 <> 3 THEN f.size_bytes // 134217728 * 134217728 END AS size_bytes FROM v_replicates r",
+    ),
     "union_relaxed_types": """SELECT p_partkey::VARCHAR AS key, p_size::DOUBLE AS amount, p_brand AS brand, p_partkey::BIGINT AS a,
  NULL::VARCHAR AS b, NULL::INTEGER AS nation, CASE WHEN p_partkey % 3 <> 0 THEN p_partkey || '+' || (p_partkey % 7) END AS tags,
  (p_partkey % 2 = 0)::BIGINT AS flag FROM part

@@ -10,7 +10,7 @@ from massloom.fixtures import views as v
 from massloom.fixtures.queries import Query, _written_by_accession
 from massloom.functions import names
 from massloom.operators import quality
-from massloom.plans import intensity, scan_metadata
+from massloom.plans import intensity, replicates, scan_metadata
 from massloom.session import durable, scratch_path
 from massloom.sinks import tables as sinks
 from massloom.sources.tables import read_csv, read_table, union_relaxed
@@ -72,6 +72,20 @@ def stream_withdraw(spark: SparkSession, sf: str) -> DataFrame:
     return one_by_one.unionByName(at_once).unionByName(file_by_file)
 
 
+# Batches of many files of one size
+
+
+def batch_splits_even(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches where sizes are whole eighths of a gigabyte, many of them zero and some missing."""
+    files = v.stored_files(spark, sf)
+    size = F.col("size_bytes")
+    eighth = F.lit(1 << 27)
+    coarse = F.when(F.length("remote_path") % 11 != 3, F.floor(size / eighth) * eighth)
+    named = v.replicates(spark, sf, files)
+    packed = replicates.batch_splits(named, files.withColumn("size_bytes", coarse))
+    return packed.select("accession", "id", "size_bytes", "split_id", "split")
+
+
 # Unions
 
 
@@ -209,7 +223,7 @@ def manifest_table(spark: SparkSession, sf: str) -> DataFrame:
 FAULT_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        stream_withdraw, union_relaxed_types, parent_ms1_gaps, histogram_repeated_scans, scan_eav_values,
+        stream_withdraw, batch_splits_even, union_relaxed_types, parent_ms1_gaps, histogram_repeated_scans, scan_eav_values,
         typed_ingest, typed_ingest_faults, cut_labels, stored_order, manifest_table,
     )
 }

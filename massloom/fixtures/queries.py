@@ -186,8 +186,8 @@ def batch_splits(spark, sf):
 
 
 def batch_splits_chained(spark, sf):
-    """The same in small chunks, so that accessions go from chunk to chunk."""
-    return _splits(spark, sf, chunk_rows=500).select("accession", "id", "size_bytes", "split_id", "split")
+    """The same in short stretches."""
+    return _splits(spark, sf, stretch=2).select("accession", "id", "size_bytes", "split_id", "split")
 
 
 def split_totals(spark, sf):

@@ -9,6 +9,7 @@ from massloom.contracts import REPLICATES
 from massloom.functions import names
 from massloom.operators import packing, quality
 from massloom.operators.inventory import unique_listing
+from massloom.session import durable
 from massloom.sinks.tables import split_label
 from massloom.sources.tables import read_by_source, sized_samples
 
@@ -45,12 +46,19 @@ def size_faults(replicates: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def with_sizes(replicates: DataFrame, files: DataFrame, on_missing: str = "fail") -> DataFrame:
-    """Replicates with ``size_bytes``; strict unless ``on_missing`` is "skip"."""
-    if on_missing == "fail":
-        faults = size_faults(replicates, files).agg(F.count("*").alias("n"), F.min("id").alias("example")).first()
-        if faults["n"]:
-            raise quality.QualityError(f"{faults['n']} replicates without one sized file, e.g. {faults['example']}")
-    return replicates.join(sized_samples(files), "id")
+    """Replicates with ``size_bytes``; strict unless ``on_missing`` is "skip".
+
+    The strict way looks the sizes up once: the result is written and checked.
+    """
+    if on_missing != "fail":
+        return replicates.join(sized_samples(files), "id")
+    found = sized_samples(files).groupBy("id").agg(F.count("*").alias("_files"), F.any_value("size_bytes").alias("size_bytes"))
+    sized = durable(replicates.join(found, "id", "left"), "sizes")
+    faults = sized.where(F.coalesce("_files", F.lit(0)) != 1).agg(F.count_distinct(F.coalesce("id", F.lit(""))).alias("n"), F.min("id").alias("example"))
+    told = faults.first()
+    if told["n"]:
+        raise quality.QualityError(f"{told['n']} replicates without one sized file, e.g. {told['example']}")
+    return sized.drop("_files")
 
 
 def batch_splits(
@@ -60,16 +68,17 @@ def batch_splits(
     target_bytes: int = packing.TARGET_BYTES,
     mode: str = "balanced",
     on_missing: str = "fail",
-    chunk_rows: int = packing.CHUNK_ROWS,
+    stretch: int = packing.STRETCH,
 ) -> DataFrame:
     """Replicates with size, split number and split label.
 
-    ``balanced`` packs rows one after the other within an accession, in chunks
-    of ``chunk_rows``; ``fill`` is parallel throughout, with less even loads.
+    ``balanced`` places the runs of equal sizes of an accession one after the
+    other, ``stretch`` rows at a time; ``fill`` is parallel throughout, with less
+    even loads.
     """
     sized = with_sizes(replicates, files, on_missing)
     if mode == "balanced":
-        packed = packing.assign_splits(sized, accession, target_bytes, chunk_rows)
+        packed = packing.assign_splits(sized, accession, target_bytes, stretch)
     else:
         packed = packing.fill_splits(sized, accession, target_bytes)
     return packed.withColumn("split", split_label(accession))

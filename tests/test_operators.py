@@ -1,6 +1,5 @@
 """Operators against brute force on small rows."""
 
-import heapq
 import random
 
 import pytest
@@ -174,26 +173,61 @@ def _samples(spark, rows):
     )
 
 
-@pytest.mark.parametrize("chunk_rows", [10_000, 60])
-def test_packing_equals_brute_force(spark, chunk_rows):
-    """One task per accession and the chain of chunks give the same splits."""
+@pytest.mark.parametrize("stretch", [10_000, 3])
+def test_packing_equals_brute_force(spark, stretch):
+    """Long and short stretches of runs give the same splits as one row after the other."""
     random.seed(3)
     rows = []
     for acc, n in (("hot", 400), ("small", 40), ("one", 1)):
         for i in range(n):
-            size = random.choice([0, None, random.randrange(1, 40), random.randrange(60, 130)])
+            size = random.choice([0, None, random.randrange(1, 40), random.randrange(60, 130), 7, 7])
             rows.append((acc, f"{acc}{i:03d}", size, random.choice(["x", "y", "z"])))
-    got = packing.assign_splits(_samples(spark, rows), target_bytes=100, chunk_rows=chunk_rows).collect()
+    got = packing.assign_splits(_samples(spark, rows), target_bytes=100, stretch=stretch).collect()
     assert len(got) == len(rows)
     for acc in ("hot", "small", "one"):
         expected = _brute_splits([(f"{o}|s|m|c", size, key) for a, key, size, o in rows if a == acc], 100)
         assert {r["id"]: r["split_id"] for r in got if r["accession"] == acc} == expected
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_runs_in_closed_form_equal_rows(seed):
+    draw = random.Random(seed)
+    target, stretch = draw.choice([10, 100, 1000]), draw.choice([1, 2, 7, 10_000])
+    loads, plain = packing.Loads(target, stretch), [0]
+    for step in range(draw.randint(1, 25)):
+        size, rows = draw.choice([0, 1, 3, draw.randint(1, target), draw.randint(1, 2 * target)]), draw.choice([1, 2, 5, 60])
+        expected = []
+        for _ in range(rows):
+            at = plain.index(min(plain))
+            if plain[at] and plain[at] + size > target:
+                plain.append(0)
+                at = len(plain) - 1
+            plain[at] += size
+            expected.append(at)
+        places = list(loads.place(size, rows))
+        assert [start for start, _, _ in places] == [sum(n for _, n, _ in places[:k]) for k in range(len(places))]
+        assert [split for _, n, split in places for _ in range(n)] == expected, step
+        if draw.random() < 0.3:
+            loads.forget(1)
+
+
+def test_a_long_run_is_few_steps():
+    loads = packing.Loads(1000)
+    assert sum(n for _, n, _ in loads.place(0, 10**12)) == 10**12
+    assert loads.opened == 1
+    places = list(loads.place(300, 10**6))
+    assert sum(n for _, n, _ in places) == 10**6 and len(places) == loads.opened == -(-(10**6) // 3)
+
+
 def test_closed_splits_are_dropped_from_the_state():
-    loads = [(95, 0), (98, 1), (40, 2), (0, 3)]
-    assert sorted(packing._still_open(loads, 10, 100)) == [(0, 3), (40, 2), (95, 0)]
-    heapq.heapify(loads)
+    loads = packing.Loads(100)
+    loads.heap = [(95, 0), (98, 1), (40, 2), (0, 3)]
+    loads.forget(10)
+    assert sorted(loads.heap) == [(0, 3), (40, 2), (95, 0)]
+
+
+def test_packing_of_no_rows(spark):
+    assert packing.assign_splits(_samples(spark, [("a", "k", 1, "x")]).where("false")).count() == 0
 
 
 def test_full_splits_hold_one_large_row(spark):
