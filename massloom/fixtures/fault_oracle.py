@@ -30,6 +30,30 @@ FAULT_ORACLE: dict[str, str] = {
         "f.size_bytes FROM v_replicates r",
         "CASE WHEN length(remote_path) % 11 <> 3 THEN f.size_bytes // 134217728 * 134217728 END AS size_bytes FROM v_replicates r",
     ),
+    "mzml_arrays": _sql(["v_spectra_cv"], "") + """
+SELECT basename, scan_number, sum_mz, log_sum, peaks, params FROM (
+ SELECT 'run_' || label AS basename, vec_id AS scan_number, len(mz)::INTEGER AS peaks, round(coalesce(list_sum(mz), 0), 3) AS sum_mz,
+ round(log10(2 + coalesce(list_sum(i), 0)), 2) AS log_sum FROM (
+ SELECT label, vec_id, CASE WHEN vec_id % 50 = 7 THEN [] ELSE list_transform(e, lambda x, k: 400::DOUBLE + (k - 1) * 10::DOUBLE + x) END AS mz,
+ CASE WHEN vec_id % 50 = 7 THEN [] ELSE list_transform(e, lambda x, k: CASE WHEN vec_id % 50 = 9 AND k = 4 THEN -1
+ ELSE pow(10::DOUBLE, abs(x) * 18::DOUBLE) END) END AS i FROM (SELECT label, vec_id, embedding::DOUBLE[] AS e FROM embeddings)))
+ JOIN (SELECT basename, scan_number, string_agg(accession || '=' || coalesce(value, '-'), ';' ORDER BY pos) AS params
+ FROM v_spectra_cv GROUP BY ALL) USING (basename, scan_number)""",
+    "mzml_param_groups": _sql(["v_spectra", "v_spectra_cv"], "") + """
+SELECT basename, scan_number, s.ms_level, len(mz)::INTEGER AS peaks, params FROM v_spectra s
+ JOIN (SELECT basename, scan_number, string_agg(accession || '=' || coalesce(value, '-'), ';' ORDER BY pos) AS params
+ FROM v_spectra_cv GROUP BY ALL) USING (basename, scan_number)
+ UNION ALL SELECT DISTINCT basename, NULL, NULL, NULL, 'instrument serial number;owner;instrument model' FROM v_spectra""",
+    "mzml_numpress": _sql(
+        ["v_spectra"],
+        """SELECT basename, scan_number AS scan_seq, len(mz)::INTEGER AS peaks, len(mz)::INTEGER AS intensities,
+ true AS mz_fits, true AS intensity_fits FROM v_spectra""",
+    ),
+    "mzml_faults": """WITH s AS (SELECT 'run_' || label AS basename, CASE WHEN label = 1 AND vec_id % 7 = 3 THEN 'spectrum is no XML'
+ WHEN label = 2 AND vec_id % 11 = 4 THEN 'spectrum without end' ELSE 'none' END AS fault FROM embeddings)
+SELECT basename, fault, count(*) AS n FROM s GROUP BY ALL
+ UNION ALL SELECT DISTINCT basename, 'spectra missing', 1 FROM s WHERE fault <> 'none' OR basename = 'run_4'
+ UNION ALL SELECT DISTINCT basename, 'file without end', 1 FROM s WHERE basename = 'run_3'""",
     "union_relaxed_types": """SELECT p_partkey::VARCHAR AS key, p_size::DOUBLE AS amount, p_brand AS brand, p_partkey::BIGINT AS a,
  NULL::VARCHAR AS b, NULL::INTEGER AS nation, CASE WHEN p_partkey % 3 <> 0 THEN p_partkey || '+' || (p_partkey % 7) END AS tags,
  (p_partkey % 2 = 0)::BIGINT AS flag FROM part

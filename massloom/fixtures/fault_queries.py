@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from massloom import contracts
+from massloom.fixtures import mzml_files
 from massloom.fixtures import views as v
 from massloom.fixtures.queries import Query, _written_by_accession
 from massloom.functions import names
@@ -13,6 +14,7 @@ from massloom.operators import quality
 from massloom.plans import intensity, replicates, scan_metadata
 from massloom.session import durable, scratch_path
 from massloom.sinks import tables as sinks
+from massloom.sources import mzml
 from massloom.sources.tables import read_csv, read_table, union_relaxed
 from massloom.streaming import ingest as streaming
 
@@ -118,6 +120,93 @@ def union_relaxed_types(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# mzML: packings, groups, faults
+
+
+def _run_of(column: str = "_metadata.file_path"):
+    return F.regexp_extract(column, "run=([^/]*)/", 1)
+
+
+def _texts(cv):
+    return F.array_join(F.transform(cv, lambda p: F.concat_ws("=", F.coalesce(p["accession"], F.lit("-")), F.coalesce(p["value"], F.lit("-")))), ";")
+
+
+def mzml_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of both arrays of every scan read back, and the texts of its own parameters; runs are read in short stretches."""
+    path = scratch_path(spark, "mzml")
+    mzml_files.write_mzml(v.spectra(spark, sf), path)
+    spectra = mzml.read_spectra(spark, path, _run_of(), stretch=50_000)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    return spectra.select(
+        "basename", "scan_number",
+        F.round(total("mz"), 3).alias("sum_mz"),
+        F.round(F.log10(F.lit(2.0) + total("intensity")), 2).alias("log_sum"),
+        F.size("intensity").alias("peaks"),
+        _texts(F.slice("cv", 1, 7)).alias("params"),
+    )
+
+
+def mzml_param_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Scans whose level and array storage stand in parameter groups, and the head's parameters with those of a group."""
+    path = scratch_path(spark, "mzml")
+    mzml_files.write_mzml(v.spectra(spark, sf), path, groups=True)
+    spectra = mzml.read_spectra(spark, path, _run_of())
+    scans = spectra.select(
+        "basename", "scan_number", "ms_level", F.size("mz").alias("peaks"), _texts(F.slice("cv", 1, 7)).alias("params")
+    )
+    heads = mzml.read_headers(spark, path, _run_of("path"), glob="*.txt").where(F.col("group") == "instrument")
+    named = heads.groupBy("basename").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "name"))), lambda p: p["name"]), ";").alias("params")
+    )
+    return scans.unionByName(named, allowMissingColumns=True)
+
+
+def mzml_numpress(spark: SparkSession, sf: str) -> DataFrame:
+    """Scans packed by MS-Numpress: whether m/z and intensities come back within the packing's bound."""
+    path = scratch_path(spark, "mzml")
+    given = v.spectra(spark, sf)
+    mzml_files.write_mzml(given, path, pressed=True)
+    read = mzml.read_spectra(spark, path, _run_of()).select("basename", "scan_seq", F.col("mz").alias("a"), F.col("intensity").alias("b"))
+    both = given.join(read, ["basename", "scan_seq"], "left")
+    far = F.coalesce(F.array_max(F.zip_with("a", "mz", lambda x, y: F.abs(x - y))), F.lit(0.0))
+    off = F.coalesce(F.array_max(F.zip_with("b", "intensity", lambda x, y: F.abs(x - y) / (F.abs(y) + 1))), F.lit(0.0))
+    kind = F.col("scan_seq") % 8
+    top = F.log(F.lit(1.0) + F.coalesce(F.array_max("intensity"), F.lit(0.0)))
+    logged = F.exp(F.lit(0.5) / F.floor(F.lit(65535.0) / F.greatest(top, F.lit(1.0)))) - 1
+    plain = F.lit(1e-7)
+    return both.select(
+        "basename", "scan_seq",
+        F.size("a").alias("peaks"),
+        F.size("b").alias("intensities"),
+        (far <= F.when(kind == 5, plain).when(kind % 4 < 2, F.lit(0.500001e-5)).otherwise(F.lit(0.5))).alias("mz_fits"),
+        (off <= F.when(kind == 5, plain).otherwise(logged * 1.0001 + 1e-9)).alias("intensity_fits"),
+    )
+
+
+def mzml_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs with broken spectra, one cut off and one that announces too many: faults by kind, and the spectra still read."""
+    path = scratch_path(spark, "mzml")
+    run, at = F.col("run"), F.col("at")
+
+    def damage(line):
+        inside = (at >= 0) & (at < 1 << 59)
+        return (
+            F.when((run == "run_1") & inside & (at % 7 == 3), F.replace(line, F.lit("</scanList>"), F.lit("")))
+            .when((run == "run_2") & inside & (at % 11 == 4), F.replace(line, F.lit("</spectrum>"), F.lit("")))
+            .when((run == "run_3") & (at >= 1 << 59), F.lit(""))
+            .when((run == "run_4") & (at < 0), F.replace(line, F.lit('<spectrumList count="'), F.lit('<spectrumList count="1')))
+            .otherwise(line)
+        )
+
+    mzml_files.write_mzml(v.spectra(spark, sf), path, damage=damage)
+    read = mzml.read_spectra(spark, path, _run_of(), on_fault="skip", stretch=20_000)
+    faults = mzml.read_faults(spark, path, _run_of(), stretch=20_000)
+    return (
+        read.groupBy("basename").agg(F.count("*").alias("n")).withColumn("fault", F.lit("none"))
+        .unionByName(faults.groupBy("basename", "fault").agg(F.count("*").alias("n")))
+    )
+
+
 # Scans without a place, and with a number used twice
 
 
@@ -223,7 +312,7 @@ def manifest_table(spark: SparkSession, sf: str) -> DataFrame:
 FAULT_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        stream_withdraw, batch_splits_even, union_relaxed_types, parent_ms1_gaps, histogram_repeated_scans, scan_eav_values,
+        stream_withdraw, batch_splits_even, mzml_arrays, mzml_param_groups, mzml_numpress, mzml_faults, union_relaxed_types, parent_ms1_gaps, histogram_repeated_scans, scan_eav_values,
         typed_ingest, typed_ingest_faults, cut_labels, stored_order, manifest_table,
     )
 }
