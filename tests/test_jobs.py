@@ -434,7 +434,7 @@ def test_a_path_under_two_spellings_of_its_root_counts_once(spark):
     [
         ("MS:1000519", "MS:1000576", struct.pack("<3i", 1, -2, 3), [1.0, -2.0, 3.0]),
         ("MS:1000522", "MS:1000574", zlib.compress(struct.pack("<3q", 1, 2, 3)), [1.0, 2.0, 3.0]),
-        ("MS:1000523", "MS:1002312", struct.pack("<3d", 1, 2, 3), "not supported"),
+        ("MS:1000523", "MS:1003089", struct.pack("<3d", 1, 2, 3), "not supported"),
         ("MS:1000520", "MS:1000576", struct.pack("<3d", 1, 2, 3), "not supported"),
         ("MS:1000523", "MS:1000576", struct.pack("<2d", 1, 2), "2 values where 3 are announced"),
     ],
