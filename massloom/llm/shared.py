@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,14 @@ def hashed_sample(ids: DataFrame, size: int, salt: str) -> DataFrame:
     return one.where(drawn <= bound).orderBy(drawn, "doc_id").limit(size)
 
 
+def each_value(broadcasts: Sequence[Broadcast]) -> Iterator[Any]:
+    """The values one after another; a task that has several holds one at a time."""
+    for broadcast in broadcasts:
+        yield broadcast.value
+        if len(broadcasts) > 1:
+            broadcast.__dict__.pop("_value", None)
+
+
 class Scratch:
     """Tables written in the shared folder; each can be removed once nothing reads it."""
 

@@ -503,7 +503,7 @@ def test_leaks_equal_brute_force():
             text = text[:at] + "".join(item).upper() + text[at:]
         texts.append(text)
     got = collections.defaultdict(set)
-    for number, item, start, end, edits in decontamination.leaks(texts, block):
+    for number, item, start, end, edits, *_ in decontamination.leaks(texts, block):
         got[number].add(item)
         low = texts[number].lower()
         assert _best_distance(items[item], low) <= edits
@@ -524,10 +524,69 @@ def test_leaks_in_pieces_and_twice(monkeypatch):
     assert decontamination.leaks(texts, block) == whole
 
 
+def test_parts_of_items_equal_brute_force(spark):
+    """Quotes of parts with and without edits, blanks doubled, upper case; clean texts beside them."""
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
+    items = [" ".join(word() for _ in range(rng.choice([15, 40, 90]))) for _ in range(8)]
+    texts = []
+    for k in range(48):
+        text = " ".join(word() for _ in range(40))
+        if k % 3:
+            item = items[k % 8]
+            size = rng.choice([60, 100, 130, 190, 260])
+            at = rng.randrange(max(1, len(item) - size))
+            part = list(item[at : at + size])
+            for _ in range(rng.choice([0, 0, 2, 9])):
+                spot = rng.randrange(len(part))
+                part[spot : spot + 1] = rng.choice([["?"], [], [part[spot], "!"]])
+            quote = "".join(part).replace(" ", rng.choice([" ", "  ", "\n \t"]))
+            text = text[:50] + rng.choice([quote, quote.upper()]) + text[50:]
+        texts.append(text)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = [" ".join(t.lower().split()) for t in texts]
+
+    def quoted(item, text):
+        whole = [item] + [item[a : a + 120] for a in [*range(0, len(item) - 120, 60), len(item) - 120] if len(item) > 120]
+        return any(_best_distance(p, text) <= decontamination.edit_budget(len(p)) for p in whole)
+
+    want = {(k, i) for k, text in enumerate(plain) for i, item in enumerate(items) if quoted(item, text)}
+    got = decontamination.find_leaks(docs, bench).collect()
+    assert {(g.doc_id, g.item_id) for g in got} == want and 10 < len(want) < 48
+    for g in got:
+        inside = " ".join(texts[g.doc_id][g.start : g.end].lower().split())
+        assert g.edits <= decontamination.edit_budget(g.item_end - g.item_start) and g.start < g.end
+        if g.edits == 0 and len(items[g.item_id]) <= 120:
+            assert items[g.item_id] in inside
+    assert {r.doc_id for r in decontamination.drop_leaking(docs, bench).collect()} == set(range(48)) - {d for d, _ in want}
+
+
+def test_leaks_that_were_missed(spark):
+    sentences = [f"Sentence number {k} of the item says something of its own here." for k in range(6)]
+    bench = spark.createDataFrame([(1, " ".join(sentences)), (2, "tiny one"), (3, " \n"), (4, "é1")], "item_id long, text string")
+    texts = [" ".join(sentences[:-1]), "  ".join(" ".join(sentences).split()), "say tiny   ONE now", "a destiny one", "(é1)", "é12", sentences[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(g.doc_id, g.item_id): g for g in decontamination.find_leaks(docs, bench).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (4, 4)}
+    # A region reaches as far as whole passages do.
+    assert (got[0, 1].start, got[0, 1].item_start) == (0, 0) and len(texts[0]) - 60 < got[0, 1].end <= len(texts[0])
+    assert got[0, 1].item_end < len(" ".join(sentences)) == got[1, 1].item_end
+    assert (got[2, 2].start, got[2, 2].end, got[2, 2].edits) == (4, 14, 0)
+
+
+def test_long_items_need_bounded_memory():
+    rng = np.random.default_rng(4)
+    item = rng.integers(97, 123, 20_000).astype(np.uint32)
+    block = decontamination.Block(np.array([1]), [item])
+    text = "".join(map(chr, rng.integers(97, 123, 500))) + "".join(map(chr, item))
+    assert [g[:5] for g in decontamination.leaks([text], block)] == [(0, 1, 500, 20_500, 0)]
+
+
 def test_leaks_of_odd_rows(spark, odd, none, monkeypatch):
     bench = spark.createDataFrame([(1, "ab cd " * 10), (2, None), (3, "short"), (None, "y" * 30)], "item_id long, text string")
     got = decontamination.find_leaks(odd, bench).collect()
-    assert {(g.doc_id, g.item_id) for g in got} == {(7, 1)}
+    assert {(g.doc_id, g.item_id) for g in got} == {(7, 1)}  # "short" stands nowhere
     monkeypatch.setattr(decontamination, "BLOCK_CHARS", 40)  # every passage in a block of its own
     assert {(g.doc_id, g.item_id) for g in decontamination.find_leaks(odd, bench).collect()} == {(7, 1)}
     kept = decontamination.drop_leaking(odd, bench)
