@@ -563,7 +563,8 @@ def test_parts_of_items_equal_brute_force(spark):
 
 
 def test_leaks_that_were_missed(spark):
-    sentences = [f"Sentence number {k} of the item says something of its own here." for k in range(6)]
+    rng = random.Random(2)
+    sentences = [" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(9)) + "." for k in range(6)]
     bench = spark.createDataFrame([(1, " ".join(sentences)), (2, "tiny one"), (3, " \n"), (4, "é1")], "item_id long, text string")
     texts = [" ".join(sentences[:-1]), "  ".join(" ".join(sentences).split()), "say tiny   ONE now", "a destiny one", "(é1)", "é12", sentences[0]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
