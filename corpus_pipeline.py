@@ -29,9 +29,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose 5-word shingles are similar by 0.8 or more the smallest doc_id stays."""
+    """Of documents linked by fingerprints of 3-word shingles that differ in at most 3 bits the smallest doc_id stays."""
     ship_package(spark)
-    return simhash_dedup.keep_one(docs, simhash_dedup.similar_groups(docs))
+    return simhash_dedup.keep_one(docs, simhash_dedup.simhash_groups(docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
