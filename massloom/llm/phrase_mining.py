@@ -15,6 +15,7 @@ no phrases.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from massloom.llm import double_array
-from massloom.llm.shared import Scratch, whole_text
+from massloom.llm.shared import Scratch, each_value, whole_text
 from massloom.llm.words import cut, numbered, slices
 from massloom.operators.ordering import number_rows
 
@@ -35,11 +36,15 @@ LONGEST = 3
 #: A phrase is dropped where a longer one around it has this share of its occurrences, in hundredths.
 COVERED = 50
 #: Words of the vocabulary that one broadcast holds.
-WORDS_A_BLOCK = 500_000
-#: Phrases in one trie on average, and tries broadcast for one pass over the texts: about 100 MB.
-PHRASES_A_TRIE, TRIES_A_PASS = 150_000, 12
+WORDS_A_BLOCK = 100_000
+#: Phrases in one trie on average, and tries broadcast for one pass over the texts: about 100 MB, of which a task holds one at a time.
+PHRASES_A_TRIE, TRIES_A_PASS = 50_000, 32
 #: Positions whose states move together.
-POSITIONS = 1 << 22
+POSITIONS = 1 << 20
+#: Rows that go back to Spark at a time.
+ROWS = 1 << 17
+#: Counts of words that a task holds before it sums them and passes them on.
+HELD = 1 << 20
 #: Parts that a language's phrases are ranked in before the last ranking.
 PARTS = 64
 
@@ -60,11 +65,23 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+
+    def summed() -> list[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).group_by(["lang", "word"]).aggregate([("n", "sum")])
+        held.clear()
+        return table.select(["lang", "word", "n_sum"]).rename_columns(["lang", "word", "n"]).to_batches()
+
     for batch in batches:
         for lang, texts in _by_language(batch):
             known, at = numbered(cut(texts, TO_PIECES)[0])
             n = pa.array(np.bincount(at, minlength=len(known)), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(known)), known.cast(pa.string()), n], ["lang", "word", "n"])
+            langs = pa.repeat(pa.scalar(lang, pa.string()), len(known))
+            held.append(pa.RecordBatch.from_arrays([langs, known.cast(pa.string()), n], ["lang", "word", "n"]))
+            if sum(map(len, held)) >= HELD:
+                yield from summed()
+    if held:
+        yield from summed()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -91,9 +108,9 @@ def _encode(texts: pa.Array, lang: str, blocks: list[Broadcast]) -> np.ndarray:
     words, _, first = cut(texts, TO_PIECES)
     known, at = numbered(words)
     ids = np.full(len(known), -1, np.int32)
-    for block in blocks:
-        if lang in block.value:
-            vocabulary, numbers = block.value[lang]
+    for block in each_value(blocks):
+        if lang in block:
+            vocabulary, numbers = block[lang]
             place = pc.index_in(known, value_set=vocabulary)
             hit = place.is_valid().to_numpy(zero_copy_only=False)
             ids[hit] = numbers[place.drop_null().to_numpy(zero_copy_only=False)]
@@ -133,16 +150,18 @@ def _positions(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[list[
         yield columns(parts)
 
 
-def _rows(columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+def _rows(columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
     columns = [*columns, *[np.full(len(n), -1, np.int32)] * (LONGEST - len(columns))]
-    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns), pa.array(n, pa.int64())], [*KEY, "n"])
+    for at in range(0, len(n), ROWS):
+        part = [pa.array(c[at : at + ROWS], pa.int32()) for c in columns]
+        yield pa.RecordBatch.from_arrays([*part, pa.array(n[at : at + ROWS], pa.int64())], [*KEY, "n"])
 
 
 def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of frequent words beside each other, with their number among the positions looked at."""
     for first, second in _positions(batches, 2):
         keys, n = np.unique(first.astype(np.int64) << 32 | second, return_counts=True)
-        yield _rows([(keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32)], n)
+        yield from _rows([(keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32)], n)
 
 
 def _trie_of(first, second, tries: int):
@@ -192,23 +211,24 @@ def _passes(ids: DataFrame, tries: list[Broadcast], task, scratch: Scratch, labe
 
 def _visits(columns: list[np.ndarray], tries: list[Broadcast]) -> Iterator[tuple[double_array.Trie, np.ndarray, np.ndarray]]:
     """(trie, positions in it, their accepting states); a position goes to the one trie that may hold its phrase."""
-    if not tries or not len(columns[0]):
+    if not len(columns[0]):
         return
-    of = _trie_of(columns[0].astype(np.int64), columns[1].astype(np.int64), tries[0].value[1])
-    for broadcast in tries:
-        number, _, trie = broadcast.value
+    of = None
+    for number, total, trie in each_value(tries):
+        if of is None:
+            of = _trie_of(columns[0].astype(np.int64), columns[1].astype(np.int64), total)
         here = np.flatnonzero(of == number)
         at, states = double_array.walk(trie, [c[here] for c in columns[: trie.words.shape[1]]])
         yield trie, here[at], states
 
 
-def _count(batches: Iterable[pa.RecordBatch], tries: list[Broadcast]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterable[pa.RecordBatch], tries: list[Broadcast], length: int) -> Iterator[pa.RecordBatch]:
     """Occurrences of the phrases of the tries: accepting states are counted by ``bincount``."""
-    for columns in _positions(batches, tries[0].value[2].words.shape[1]):
+    for columns in _positions(batches, length):
         for trie, _, states in _visits(columns, tries):
             n = np.bincount(states, minlength=len(trie.check))[trie.accepts]
             hit = np.flatnonzero(n)
-            yield _rows(list(trie.words[hit].T), n[hit])
+            yield from _rows(list(trie.words[hit].T), n[hit])
 
 
 def _longer(batches: Iterable[pa.RecordBatch], tries: list[Broadcast]) -> Iterator[pa.RecordBatch]:
@@ -219,14 +239,14 @@ def _longer(batches: Iterable[pa.RecordBatch], tries: list[Broadcast]) -> Iterat
             phrase[trie.accepts] = np.arange(len(trie.accepts))
             keys, n = np.unique(phrase[states] << 32 | columns[2][at], return_counts=True)
             pair = trie.words[keys >> 32]
-            yield _rows([pair[:, 0], pair[:, 1], (keys & 0xFFFFFFFF).astype(np.int32)], n)
+            yield from _rows([pair[:, 0], pair[:, 1], (keys & 0xFFFFFFFF).astype(np.int32)], n)
 
 
 def candidates(found: DataFrame, buckets: int, least: int = LEAST) -> DataFrame:
     """The phrases whose bucket holds ``least`` occurrences in all: no other can be frequent."""
-    bucketed = found.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(buckets)))
-    full = bucketed.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("bucket")
-    return bucketed.join(full, "bucket", "left_semi").select(*KEY).distinct()
+    # Summed over a window: one shuffle serves the sums, the filter and the distinct phrases.
+    bucket = Window.partitionBy(F.pmod(F.xxhash64(*KEY), F.lit(buckets)).alias("bucket"))
+    return found.withColumn("full", F.sum("n").over(bucket)).where(F.col("full") >= least).select(*KEY).distinct()
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -294,14 +314,14 @@ def collocations(docs: DataFrame, top: int = 2000) -> DataFrame:
         block.unpersist()
 
     found = scratch.write(ids.mapInArrow(_pairs, COUNTS), "pairs")
-    pairs = _passes(ids, _build_tries(scratch.write(candidates(found, buckets), "candidates")), _count, scratch, "pairs")
+    pairs = _passes(ids, _build_tries(scratch.write(candidates(found, buckets), "candidates")), partial(_count, length=2), scratch, "pairs")
     pairs = pairs.where(F.col("n") >= LEAST)
     scratch.drop(found)
 
     starts = _passes(ids, _build_tries(pairs), _longer, scratch, "longer")
     ends = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"))
     found = candidates(starts.join(ends, ["w2", "w3"], "left_semi").select(*KEY, "n"), buckets)
-    triples = _passes(ids, _build_tries(scratch.write(found, "candidates")), _count, scratch, "triples").where(F.col("n") >= LEAST)
+    triples = _passes(ids, _build_tries(scratch.write(found, "candidates")), partial(_count, length=3), scratch, "triples").where(F.col("n") >= LEAST)
     scratch.drop(starts)
     scratch.drop(ids)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut into words at a time; a longer text is taken alone.
-SLICE = 8 << 20
+SLICE = 2 << 20
 BLANK, BREAK = 0x20, 0x0A
 
 
