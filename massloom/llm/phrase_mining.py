@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -41,10 +42,12 @@ WORDS_A_BLOCK = 100_000
 PHRASES_A_TRIE, TRIES_A_PASS = 50_000, 32
 #: Positions whose states move together.
 POSITIONS = 1 << 20
+#: Occurrences of candidates that are summed in one task on average.
+SUMMED = 500_000
 #: Rows that go back to Spark at a time.
 ROWS = 1 << 17
 #: Counts of words that a task holds before it sums them and passes them on.
-HELD = 1 << 20
+HELD = 1 << 18
 #: Parts that a language's phrases are ranked in before the last ranking.
 PARTS = 64
 
@@ -157,11 +160,49 @@ def _rows(columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*part, pa.array(n[at : at + ROWS], pa.int64())], [*KEY, "n"])
 
 
-def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of frequent words beside each other, with their number among the positions looked at."""
+FOUND = "part int, keys binary, n binary"
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _dealt(keys: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Distinct keys with their numbers, dealt by hash: a row holds those of one part.
+
+    Keys stand as differences, byte by byte, which packs well; numbers stop at
+    255, far above what a candidate needs.
+    """
+    keys, n = np.unique(keys, return_counts=True)
+    part = ((keys.astype(np.uint64) * _MIX) >> np.uint64(33)).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    keys, n, part = keys[order], np.minimum(n[order], 255).astype(np.uint8), part[order]
+    begins = np.flatnonzero(np.diff(part, prepend=-1))
+    rows = [(slice(a, b), part[a]) for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)])]
+    packed = [np.ascontiguousarray(np.diff(keys[where], prepend=0).view(np.uint8).reshape(-1, 8).T).tobytes() for where, _ in rows]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([p for _, p in rows], pa.int32()), pa.array(packed, pa.binary()), pa.array([n[w].tobytes() for w, _ in rows], pa.binary())],
+        ["part", "keys", "n"],
+    )
+
+
+def _full(rows: pd.DataFrame, least: int) -> pd.DataFrame:
+    """The keys of a part whose bucket holds ``least`` occurrences in all; there are four buckets for each row's key."""
+    unpacked = [np.cumsum(np.frombuffer(k, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()) for k in rows["keys"]]
+    keys, n = np.concatenate(unpacked), np.concatenate([np.frombuffer(x, np.uint8) for x in rows["n"]])
+    buckets = 4 * len(keys) + 1
+    bucket = ((keys.astype(np.uint64) ^ (keys.astype(np.uint64) >> np.uint64(29))) * _MIX >> np.uint64(20)).astype(np.int64) % buckets
+    sums = np.bincount(bucket, n, buckets)
+    kept = np.unique(keys[sums[bucket] >= least])
+    return pd.DataFrame({"a": kept >> 32, "b": (kept & 0xFFFFFFFF).astype(np.int32)})
+
+
+def candidates(found: DataFrame, least: int = LEAST) -> DataFrame:
+    """(a, b): the keys whose bucket holds ``least`` occurrences in all; no other can be frequent."""
+    return found.groupBy("part").applyInPandas(partial(_full, least=least), "a long, b int")
+
+
+def _pairs(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of frequent words beside each other, as keys of two word numbers."""
     for first, second in _positions(batches, 2):
-        keys, n = np.unique(first.astype(np.int64) << 32 | second, return_counts=True)
-        yield from _rows([(keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32)], n)
+        yield from _dealt(first.astype(np.int64) << 32 | second, parts)
 
 
 def _trie_of(first, second, tries: int):
@@ -169,84 +210,100 @@ def _trie_of(first, second, tries: int):
     return (first * 1_000_003 + second * 7_919) % tries
 
 
+class Held(NamedTuple):
+    """A trie as it is broadcast: its number, the number of tries, and the numbers of its phrases, if they have some."""
+
+    number: int
+    tries: int
+    trie: double_array.Trie
+    names: np.ndarray
+
+
 def _build_tries(phrases: DataFrame) -> list[Broadcast]:
-    """The phrases (w1, w2, w3) in tries, built on the executors, each broadcast by itself."""
+    """The phrases (w1, w2, w3, name) in tries, built on the executors, each broadcast by itself."""
     tries = max(1, -(-phrases.count() // PHRASES_A_TRIE))
+    parts = ("symbols", "base", "check", "words", "accepts")
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         length = 2 if rows["w3"].iloc[0] < 0 else 3
+        rows = rows.sort_values(KEY[:length])  # the order that the trie has its sequences in
         trie = double_array.build(rows[KEY[:length]].to_numpy(np.int32))
-        return pd.DataFrame(
-            {
-                "trie": [int(rows["trie"].iloc[0])],
-                "length": [length],
-                **{k: [getattr(trie, k).astype(np.int32).tobytes()] for k in ("symbols", "base", "check", "words", "accepts")},
-            }
-        )
-
-    dealt = phrases.withColumn("trie", _trie_of(F.col("w1").cast("long"), F.col("w2").cast("long"), tries).cast("int"))
-    schema = "trie int, length int, symbols binary, base binary, check binary, words binary, accepts binary"
+        arrays = {k: [getattr(trie, k).astype(np.int32).tobytes()] for k in parts}
+        names = [rows["name"].to_numpy(np.int64).tobytes()]
+        return pd.DataFrame({"trie": [int(rows["trie"].iloc[0])], "length": [length], **arrays, "names": names})
+
+    dealt = phrases.select(*KEY, "name", _trie_of(F.col("w1").cast("long"), F.col("w2").cast("long"), tries).cast("int").alias("trie"))
+    schema = "trie int, length int, " + ", ".join(f"{k} binary" for k in (*parts, "names"))
     built = []
     for row in dealt.groupBy("trie").applyInPandas(build, schema).toLocalIterator():
-        arrays = {k: np.frombuffer(row[k], np.int32) for k in ("symbols", "base", "check", "words", "accepts")}
+        arrays = {k: np.frombuffer(row[k], np.int32) for k in parts}
         arrays["words"] = arrays["words"].reshape(-1, row["length"])
-        built.append(phrases.sparkSession.sparkContext.broadcast((row["trie"], tries, double_array.Trie(**arrays))))
+        held = Held(row["trie"], tries, double_array.Trie(**arrays), np.frombuffer(row["names"], np.int64))
+        built.append(phrases.sparkSession.sparkContext.broadcast(held))
     return built
 
 
-def _passes(ids: DataFrame, tries: list[Broadcast], task, scratch: Scratch, label: str) -> DataFrame:
-    """``task`` over the texts, a few tries at a time; the counts of each phrase summed."""
-    out = None
+def _passes(ids: DataFrame, tries: list[Broadcast], task, schema: str) -> DataFrame:
+    """What ``task`` makes of the texts, a few tries at a time."""
+    out = ids.sparkSession.createDataFrame([], schema)
     for start in range(0, len(tries), TRIES_A_PASS):
         some = tries[start : start + TRIES_A_PASS]
-        found = ids.mapInArrow(lambda batches, some=some: task(batches, some), COUNTS)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return scratch.write(ids.sparkSession.createDataFrame([], COUNTS), label)
-    written = scratch.write(out.groupBy(*KEY).agg(F.sum("n").alias("n")), label)
-    for trie in tries:
-        trie.unpersist()
-    return written
+        out = out.unionByName(ids.mapInArrow(lambda batches, some=some: task(batches, some), schema))
+    return out
 
 
-def _visits(columns: list[np.ndarray], tries: list[Broadcast]) -> Iterator[tuple[double_array.Trie, np.ndarray, np.ndarray]]:
+def _visits(columns: list[np.ndarray], tries: list[Broadcast]) -> Iterator[tuple[Held, np.ndarray, np.ndarray]]:
     """(trie, positions in it, their accepting states); a position goes to the one trie that may hold its phrase."""
     if not len(columns[0]):
         return
     of = None
-    for number, total, trie in each_value(tries):
+    for held in each_value(tries):
         if of is None:
-            of = _trie_of(columns[0].astype(np.int64), columns[1].astype(np.int64), total)
-        here = np.flatnonzero(of == number)
-        at, states = double_array.walk(trie, [c[here] for c in columns[: trie.words.shape[1]]])
-        yield trie, here[at], states
+            of = _trie_of(columns[0].astype(np.int64), columns[1].astype(np.int64), held.tries)
+        here = np.flatnonzero(of == held.number)
+        at, states = double_array.walk(held.trie, [c[here] for c in columns[: held.trie.words.shape[1]]])
+        yield held, here[at], states
 
 
 def _count(batches: Iterable[pa.RecordBatch], tries: list[Broadcast], length: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the phrases of the tries: accepting states are counted by ``bincount``."""
+    """Occurrences of the phrases of the tries in this task's texts: accepting states are counted by ``bincount``."""
+    sums: dict[int, np.ndarray] = {}
     for columns in _positions(batches, length):
-        for trie, _, states in _visits(columns, tries):
-            n = np.bincount(states, minlength=len(trie.check))[trie.accepts]
+        for held, _, states in _visits(columns, tries):
+            n = np.bincount(states, minlength=len(held.trie.check))[held.trie.accepts]
+            sums[held.number] = sums[held.number] + n if held.number in sums else n
+    for held in each_value(tries):
+        if held.number in sums:
+            n = sums.pop(held.number)
             hit = np.flatnonzero(n)
-            yield from _rows(list(trie.words[hit].T), n[hit])
+            yield from _rows(list(held.trie.words[hit].T), n[hit])
 
 
-def _longer(batches: Iterable[pa.RecordBatch], tries: list[Broadcast]) -> Iterator[pa.RecordBatch]:
-    """Phrases of three words that start with a pair of the tries, with their number among the positions looked at."""
+def _longer(batches: Iterable[pa.RecordBatch], tries: list[Broadcast], parts: int) -> Iterator[pa.RecordBatch]:
+    """Phrases of three words that start with a pair of the tries, as keys of the pair's and the last word's numbers."""
     for columns in _positions(batches, 3):
-        for trie, at, states in _visits(columns, tries):
-            phrase = np.zeros(len(trie.check), np.int64)
-            phrase[trie.accepts] = np.arange(len(trie.accepts))
-            keys, n = np.unique(phrase[states] << 32 | columns[2][at], return_counts=True)
-            pair = trie.words[keys >> 32]
-            yield from _rows([pair[:, 0], pair[:, 1], (keys & 0xFFFFFFFF).astype(np.int32)], n)
+        keys = []
+        for held, at, states in _visits(columns, tries):
+            name = np.zeros(len(held.trie.check), np.int64)
+            name[held.trie.accepts] = held.names
+            keys.append(name[states] << 32 | columns[2][at])
+        if keys:
+            yield from _dealt(np.concatenate(keys), parts)
+
+
+def _counted(ids: DataFrame, phrases: DataFrame, length: int, scratch: Scratch) -> DataFrame:
+    """(w1, w2, w3, n) of the phrases that are frequent."""
+    tries = _build_tries(phrases)
+    found = _passes(ids, tries, partial(_count, length=length), COUNTS).groupBy(*KEY).agg(F.sum("n").alias("n"))
+    written = scratch.write(found.where(F.col("n") >= LEAST), "phrases")
+    _drop(tries)
+    return written
 
 
-def candidates(found: DataFrame, buckets: int, least: int = LEAST) -> DataFrame:
-    """The phrases whose bucket holds ``least`` occurrences in all: no other can be frequent."""
-    # Summed over a window: one shuffle serves the sums, the filter and the distinct phrases.
-    bucket = Window.partitionBy(F.pmod(F.xxhash64(*KEY), F.lit(buckets)).alias("bucket"))
-    return found.withColumn("full", F.sum("n").over(bucket)).where(F.col("full") >= least).select(*KEY).distinct()
+def _drop(broadcasts: list[Broadcast]) -> None:
+    """Removes broadcasts, from the driver too, once what was made with them is written."""
+    for broadcast in broadcasts:
+        broadcast.destroy()
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -306,22 +363,25 @@ def collocations(docs: DataFrame, top: int = 2000) -> DataFrame:
     occurrences, most = (counted.agg(F.sum("n")).first()[0] or 0), (words.agg(F.max("id")).first()[0] or 0)
     if most >= 1 << 31:
         raise ValueError("more frequent words than four bytes can number")
-    # As many buckets as words: false candidates stay few at any size.
-    buckets = 1 << max(10, occurrences.bit_length())
+    parts = max(1, -(-occurrences // SUMMED))
     blocks = _blocks(words)
     ids = scratch.write(encode(docs, blocks), "ids")
-    for block in blocks:
-        block.unpersist()
-
-    found = scratch.write(ids.mapInArrow(_pairs, COUNTS), "pairs")
-    pairs = _passes(ids, _build_tries(scratch.write(candidates(found, buckets), "candidates")), partial(_count, length=2), scratch, "pairs")
-    pairs = pairs.where(F.col("n") >= LEAST)
-    scratch.drop(found)
-
-    starts = _passes(ids, _build_tries(pairs), _longer, scratch, "longer")
-    ends = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"))
-    found = candidates(starts.join(ends, ["w2", "w3"], "left_semi").select(*KEY, "n"), buckets)
-    triples = _passes(ids, _build_tries(scratch.write(found, "candidates")), partial(_count, length=3), scratch, "triples").where(F.col("n") >= LEAST)
+    _drop(blocks)
+
+    found = candidates(ids.mapInArrow(partial(_pairs, parts=parts), FOUND))
+    found = found.select(F.col("a").cast("int").alias("w1"), F.col("b").alias("w2"), F.lit(-1).alias("w3"), F.lit(0).cast("long").alias("name"))
+    pairs = _counted(ids, scratch.write(found, "candidates"), 2, scratch)
+
+    named = number_rows(pairs, [], [F.col("w1"), F.col("w2")], "name")
+    starts = scratch.write(named.select(*KEY, F.col("name").cast("long").alias("name")), "pairs")
+    tries = _build_tries(starts)
+    found = candidates(_passes(ids, tries, partial(_longer, parts=parts), FOUND))
+    # Their last two words must be frequent as well.
+    found = found.join(starts.select(F.col("name").alias("a"), "w1", "w2"), "a").select("w1", "w2", F.col("b").alias("w3"), F.lit(0).cast("long").alias("name"))
+    found = found.join(starts.select(F.col("w1").alias("w2"), F.col("w2").alias("w3")), ["w2", "w3"], "left_semi")
+    found = scratch.write(found.select(*KEY, "name"), "candidates")
+    _drop(tries)
+    triples = _counted(ids, found, 3, scratch)
     scratch.drop(starts)
     scratch.drop(ids)
 
