@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +44,8 @@ PHRASES_A_TRIE, TRIES_A_PASS = 50_000, 32
 POSITIONS = 1 << 20
 #: Occurrences of candidates that are summed in one task on average.
 SUMMED = 500_000
+#: Phrases whose counts stand in one row, and groups that such rows are summed in first.
+BLOCK, SALTS = 512, 32
 #: Rows that go back to Spark at a time.
 ROWS = 1 << 17
 #: Counts of words that a task holds before it sums them and passes them on.
@@ -219,8 +221,8 @@ class Held(NamedTuple):
     names: np.ndarray
 
 
-def _build_tries(phrases: DataFrame) -> list[Broadcast]:
-    """The phrases (w1, w2, w3, name) in tries, built on the executors, each broadcast by itself."""
+def _build_tries(phrases: DataFrame) -> dict[int, Broadcast]:
+    """The phrases (w1, w2, w3, name) in tries, built on the executors, each broadcast by itself, by number."""
     tries = max(1, -(-phrases.count() // PHRASES_A_TRIE))
     parts = ("symbols", "base", "check", "words", "accepts")
 
@@ -234,20 +236,21 @@ def _build_tries(phrases: DataFrame) -> list[Broadcast]:
 
     dealt = phrases.select(*KEY, "name", _trie_of(F.col("w1").cast("long"), F.col("w2").cast("long"), tries).cast("int").alias("trie"))
     schema = "trie int, length int, " + ", ".join(f"{k} binary" for k in (*parts, "names"))
-    built = []
+    built, numbers = [], []
     for row in dealt.groupBy("trie").applyInPandas(build, schema).toLocalIterator():
         arrays = {k: np.frombuffer(row[k], np.int32) for k in parts}
         arrays["words"] = arrays["words"].reshape(-1, row["length"])
         held = Held(row["trie"], tries, double_array.Trie(**arrays), np.frombuffer(row["names"], np.int64))
         built.append(phrases.sparkSession.sparkContext.broadcast(held))
-    return built
+        numbers.append(row["trie"])
+    return dict(zip(numbers, built))
 
 
-def _passes(ids: DataFrame, tries: list[Broadcast], task, schema: str) -> DataFrame:
+def _passes(ids: DataFrame, tries: dict[int, Broadcast], task, schema: str) -> DataFrame:
     """What ``task`` makes of the texts, a few tries at a time."""
     out = ids.sparkSession.createDataFrame([], schema)
     for start in range(0, len(tries), TRIES_A_PASS):
-        some = tries[start : start + TRIES_A_PASS]
+        some = list(tries.values())[start : start + TRIES_A_PASS]
         out = out.unionByName(ids.mapInArrow(lambda batches, some=some: task(batches, some), schema))
     return out
 
@@ -265,18 +268,44 @@ def _visits(columns: list[np.ndarray], tries: list[Broadcast]) -> Iterator[tuple
         yield held, here[at], states
 
 
+SUMS = "trie int, block int, salt int, n binary"
+
+
 def _count(batches: Iterable[pa.RecordBatch], tries: list[Broadcast], length: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the phrases of the tries in this task's texts: accepting states are counted by ``bincount``."""
+    """Occurrences of the phrases of the tries in this task's texts: accepting states are counted by ``bincount``.
+
+    Counts go on as blocks of ``BLOCK`` phrases, so that a task gives few rows.
+    """
     sums: dict[int, np.ndarray] = {}
     for columns in _positions(batches, length):
         for held, _, states in _visits(columns, tries):
             n = np.bincount(states, minlength=len(held.trie.check))[held.trie.accepts]
             sums[held.number] = sums[held.number] + n if held.number in sums else n
-    for held in each_value(tries):
-        if held.number in sums:
-            n = sums.pop(held.number)
-            hit = np.flatnonzero(n)
-            yield from _rows(list(held.trie.words[hit].T), n[hit])
+    rows = [
+        (number, at // BLOCK, n[at : at + BLOCK].tobytes()) for number, n in sums.items() for at in range(0, len(n), BLOCK) if n[at : at + BLOCK].any()
+    ]
+    if rows:
+        trie, block, n = zip(*rows)
+        salt = [TaskContext.get().partitionId() % SALTS] * len(rows)  # the same when a task is run again
+        columns = [pa.array(trie, pa.int32()), pa.array(block, pa.int32()), pa.array(salt, pa.int32()), pa.array(n, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["trie", "block", "salt", "n"])
+
+
+def _sum_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(n, np.int64) for n in rows["n"])
+    return rows.iloc[:1].assign(n=[total.tobytes()])
+
+
+def _frequent(batches: Iterable[pa.RecordBatch], tries: dict[int, Broadcast]) -> Iterator[pa.RecordBatch]:
+    """(w1, w2, w3, n) of summed blocks, which come trie by trie."""
+    for batch in batches:
+        for number in pc.unique(batch["trie"]).to_pylist():
+            own = batch.filter(pc.equal(batch["trie"], number))
+            held = next(each_value([tries[number]]))
+            for block, raw in zip(own["block"].to_pylist(), own["n"].to_pylist()):
+                n = np.frombuffer(raw, np.int64)
+                hit = np.flatnonzero(n >= LEAST)
+                yield from _rows(list(held.trie.words[block * BLOCK + hit].T), n[hit])
 
 
 def _longer(batches: Iterable[pa.RecordBatch], tries: list[Broadcast], parts: int) -> Iterator[pa.RecordBatch]:
@@ -294,13 +323,17 @@ def _longer(batches: Iterable[pa.RecordBatch], tries: list[Broadcast], parts: in
 def _counted(ids: DataFrame, phrases: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """(w1, w2, w3, n) of the phrases that are frequent."""
     tries = _build_tries(phrases)
-    found = _passes(ids, tries, partial(_count, length=length), COUNTS).groupBy(*KEY).agg(F.sum("n").alias("n"))
-    written = scratch.write(found.where(F.col("n") >= LEAST), "phrases")
-    _drop(tries)
+    found = _passes(ids, tries, partial(_count, length=length), SUMS)
+    # Two steps, so that a block of very many tasks' counts does not meet in one task.
+    for key in (["trie", "block", "salt"], ["trie", "block"]):
+        found = found.groupBy(*key).applyInPandas(_sum_blocks, SUMS)
+    words = found.repartition("trie").sortWithinPartitions("trie").mapInArrow(partial(_frequent, tries=tries), COUNTS)
+    written = scratch.write(words, "phrases")
+    _drop(tries.values())
     return written
 
 
-def _drop(broadcasts: list[Broadcast]) -> None:
+def _drop(broadcasts: Iterable[Broadcast]) -> None:
     """Removes broadcasts, from the driver too, once what was made with them is written."""
     for broadcast in broadcasts:
         broadcast.destroy()
@@ -380,7 +413,7 @@ def collocations(docs: DataFrame, top: int = 2000) -> DataFrame:
     found = found.join(starts.select(F.col("name").alias("a"), "w1", "w2"), "a").select("w1", "w2", F.col("b").alias("w3"), F.lit(0).cast("long").alias("name"))
     found = found.join(starts.select(F.col("w1").alias("w2"), F.col("w2").alias("w3")), ["w2", "w3"], "left_semi")
     found = scratch.write(found.select(*KEY, "name"), "candidates")
-    _drop(tries)
+    _drop(tries.values())
     triples = _counted(ids, found, 3, scratch)
     scratch.drop(starts)
     scratch.drop(ids)
