@@ -37,6 +37,10 @@ def unique_listing(listing: DataFrame) -> DataFrame:
     )
 
 
+def _below_root(listing: DataFrame) -> DataFrame:
+    return unique_listing(listing.where(F.startswith(F.col("path"), F.concat(_root(F.col("root_path")), F.lit("/")))))
+
+
 def contributions(listing: DataFrame) -> DataFrame:
     """Rows (path, bytes) whose sum per path is the rolled-up, pruned listing.
 
@@ -50,15 +54,20 @@ def contributions(listing: DataFrame) -> DataFrame:
     Both branches read the same columns of the unique listing and filter only
     on its aggregates, so that its shuffle is made once and used twice.
     """
-    root = _root(F.col("root_path"))
-    below = unique_listing(listing.where(F.startswith(F.col("path"), F.concat(root, F.lit("/")))))
+    below = _below_root(listing)
     listed = below.where(~F.col("in_bundle")).select(
         "repository_id",
         F.col("path").alias("remote_path"),
         F.when(F.col("is_dir"), F.lit(0)).otherwise(F.col("size_bytes")).alias("size_bytes"),
         "is_dir",
     )
-    parents = (
+    total = F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes")
+    return listed.unionByName(_up_the_folders(_parents(below, total), "size_bytes"))
+
+
+def _parents(below: DataFrame, *totals: Column) -> DataFrame:
+    """Files of a unique listing summed per parent folder."""
+    return (
         below.where(~F.col("is_dir"))
         .groupBy(
             "repository_id",
@@ -67,12 +76,17 @@ def contributions(listing: DataFrame) -> DataFrame:
             # The same for all files of a folder.
             "in_bundle",
         )
-        .agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"))
+        .agg(*totals)
     )
+
+
+def _up_the_folders(parents: DataFrame, *totals: str) -> DataFrame:
+    """The totals of a parent folder for itself and every folder above it, below the root."""
+    root = _root(F.col("root_path"))
     relative = F.substring(F.col("_parent"), F.length(root) + 2, F.length("_parent"))
     # Up to the outermost .d directory, where there is one.
     kept = F.when(F.col("in_bundle"), F.regexp_extract(relative, r"(?i)^(.*?\.d)(?:/|\z)", 1)).otherwise(relative)
-    folders = (
+    return (
         parents.withColumn("_names", F.split(kept, "/"))
         .withColumn(
             "_folders",
@@ -84,12 +98,86 @@ def contributions(listing: DataFrame) -> DataFrame:
         .select(
             "repository_id",
             F.explode_outer(F.when(F.col("_parent") != root, F.col("_folders"))).alias("remote_path"),
-            "size_bytes",
+            *totals,
             F.lit(True).alias("is_dir"),
         )
         .where(F.col("remote_path").isNotNull())
     )
-    return listed.unionByName(folders)
+
+
+def listing_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What two crawls do not have in common: rows of their unique listings, ``sign`` -1 (gone) or 1 (new).
+
+    A path whose size, kind or root has changed is gone with its old values and
+    new with its new ones; a moved file is gone from one path and new at another.
+    One aggregate over both crawls: rows that are alike cancel out.
+    """
+    columns = ["repository_id", "path", "root_path", "is_dir", "size_bytes", "in_bundle"]
+    both = (
+        _below_root(before).select(*columns, F.lit(-1).alias("sign")).unionByName(_below_root(after).select(*columns, F.lit(1).alias("sign")))
+    )
+    return both.groupBy(*columns).agg(F.sum("sign").cast("int").alias("sign")).where(F.col("sign") != 0)
+
+
+def signed_contributions(changes: DataFrame) -> DataFrame:
+    """Rows (path, bytes and counts) whose sum per path is what ``changes`` add to or take from a roll-up.
+
+    The counts, of files and folders that bear on the path and of known sizes,
+    tell when a folder has lost its last file and a path is to go.
+    """
+    sign, known = F.col("sign"), F.col("size_bytes").isNotNull()
+    size = F.when(F.col("is_dir"), F.lit(0)).otherwise(F.col("size_bytes"))
+    listed = changes.where(~F.col("in_bundle")).select(
+        "repository_id",
+        F.col("path").alias("remote_path"),
+        F.coalesce(size * sign, F.lit(0)).alias("size_bytes"),
+        F.when(F.col("is_dir"), 0).otherwise(sign).cast("long").alias("n_files"),
+        F.when(F.col("is_dir"), sign).otherwise(0).cast("long").alias("n_folders"),
+        F.when(F.col("is_dir") | known, sign).otherwise(0).cast("long").alias("n_known"),
+    )
+    parents = _parents(
+        changes,
+        F.coalesce(F.sum(F.col("size_bytes") * sign), F.lit(0)).alias("size_bytes"),
+        F.sum(sign.cast("long")).alias("n_folders"),
+    )
+    folders = _up_the_folders(parents, "size_bytes", "n_folders").drop("is_dir")
+    return listed.unionByName(
+        folders.withColumn("n_files", F.lit(0).cast("long")).withColumn("n_known", F.col("n_folders"))
+    )
+
+
+ROLLUP_COUNTS = ["size_bytes", "n_files", "n_folders", "n_known"]
+
+
+def roll_up_state(listing: DataFrame) -> DataFrame:
+    """The roll-up in the form that changes can be added to, to be stored: path, size_bytes and counts."""
+    first = _below_root(listing).withColumn("sign", F.lit(1))
+    return _summed(signed_contributions(first))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return (
+        rows.groupBy("repository_id", "remote_path")
+        .agg(*[F.sum(c).alias(c) for c in ROLLUP_COUNTS])
+        .where((F.col("n_files") > 0) | (F.col("n_folders") > 0))
+    )
+
+
+def roll_up_changed(state: DataFrame, changes: DataFrame) -> DataFrame:
+    """The stored state brought up to date by ``listing_changes``; only repositories with changes are shuffled."""
+    touched = changes.select("repository_id").distinct()
+    added = state.join(touched, "repository_id", "left_semi").unionByName(signed_contributions(changes))
+    return state.join(touched, "repository_id", "left_anti").unionByName(_summed(added))
+
+
+def rolled_up(state: DataFrame) -> DataFrame:
+    """The state as ``roll_up`` gives it; a file of unknown size keeps a null."""
+    return state.select(
+        "repository_id",
+        "remote_path",
+        F.when(F.col("n_known") > 0, F.col("size_bytes")).alias("size_bytes"),
+        (F.col("n_folders") > 0).alias("is_dir"),
+    )
 
 
 def roll_up(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -140,3 +142,97 @@ def stored_files(df: DataFrame) -> DataFrame:
             "n_rows",
         )
     )
+
+
+# Profiles from stored sketches
+
+#: log2 of the number of registers of a distinct-value sketch, and the size of a quantile sketch.
+DISTINCT_LG = 14
+QUANTILE_K = 400
+#: Three standard errors of the distinct estimate: 1.04 / sqrt(2 ** DISTINCT_LG), three times.
+DISTINCT_BOUND = 3 * 1.04 / 2 ** (DISTINCT_LG / 2)
+#: Rank error of the quantile estimate, by the sketch's own formula for one rank at 99 % confidence.
+QUANTILE_BOUND = 2.296 / QUANTILE_K**0.9021
+
+
+def column_sketches(df: DataFrame, dataset_id: str, by: str | None = None) -> DataFrame:
+    """One row per column, and per value of ``by``: counts and sketches, to be stored and merged.
+
+    dataset_id, part (``by`` as text, null without it), ordinal_position,
+    column_name, logical_type, n_rows, null_count, distinct (HyperLogLog), and for
+    numbers low, high and quantiles (KLL sketch of doubles, NaN left out); all of
+    these null where the column has no value. One pass over ``df``, whatever the
+    number of columns; what is shuffled is a sketch per column, part and task.
+    Values that a sketch cannot take (structs, arrays) go in as their JSON.
+    """
+    parts = df.withColumn("_part", F.lit(None).cast("string") if by is None else F.col(f"`{by}`").cast("string"))
+    aggs: list[Column] = [F.count("*").alias("_rows")]
+    lines = []
+    for at, field in enumerate(df.schema.fields):
+        column, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        number = isinstance(field.dataType, NumericType)
+        if kind in ("int", "bigint"):
+            sketched = column
+        elif kind in ("string", "binary"):
+            # A sketch takes no notice of empty values.
+            sketched = F.concat(F.lit("="), column if kind == "string" else F.hex(column))
+        elif kind in ("tinyint", "smallint", "date", "boolean"):
+            sketched = column.cast("string")
+        elif kind in ("float", "double"):
+            # Both zeros are one value, as in a distinct count.
+            sketched = F.when(column == 0, F.lit("0.0")).otherwise(column.cast("string"))
+        elif kind.startswith(("decimal", "timestamp")):
+            sketched = column.cast("string")
+        else:
+            sketched = F.to_json(F.struct(column.alias("v")))
+            sketched = F.when(column.isNotNull(), sketched)
+        double = F.when(~F.isnan(column.cast("double")), column.cast("double")) if number else None
+        aggs += [F.count_if(column.isNull()).alias(f"n{at}"), F.hll_sketch_agg(sketched, DISTINCT_LG).alias(f"d{at}")]
+        if number:
+            aggs += [
+                F.min(double).alias(f"lo{at}"), F.max(double).alias(f"hi{at}"), F.kll_sketch_agg_double(double, QUANTILE_K).alias(f"q{at}")
+            ]
+        lines.append(
+            F.struct(
+                F.lit(dataset_id).alias("dataset_id"),
+                F.col("_part").alias("part"),
+                F.lit(at + 1).alias("ordinal_position"),
+                F.lit(field.name).alias("column_name"),
+                F.lit(kind).alias("logical_type"),
+                F.col("_rows").alias("n_rows"),
+                F.col(f"n{at}").alias("null_count"),
+                F.when(F.col(f"n{at}") < F.col("_rows"), F.col(f"d{at}")).alias("distinct"),
+                (F.col(f"lo{at}") if number else F.lit(None).cast("double")).alias("low"),
+                (F.col(f"hi{at}") if number else F.lit(None).cast("double")).alias("high"),
+                (F.when(F.col(f"lo{at}").isNotNull(), F.col(f"q{at}")) if number else F.lit(None).cast("binary")).alias("quantiles"),
+            )
+        )
+    return parts.groupBy("_part").agg(*aggs).select(F.inline(F.array(*lines)))
+
+
+def merged_profile(sketches: DataFrame, percentages: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Column profile of all parts together from their stored sketches; the rows are not read again.
+
+    dataset_id, column_name, ordinal_position, logical_type, n_rows, null_count,
+    distinct_count (estimate, within ``DISTINCT_BOUND`` in 99.7 of 100 cases), low,
+    high, quantiles (array for ``percentages``; ranks off by ``QUANTILE_BOUND`` at
+    most in 99 of 100 cases; null without numbers).
+    """
+    wanted = F.array(*[F.lit(float(p)) for p in percentages])
+    return (
+        sketches.groupBy("dataset_id", "ordinal_position", "column_name", "logical_type")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.sum("null_count").alias("null_count"),
+            F.hll_union_agg("distinct").alias("_distinct"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.kll_merge_agg_double("quantiles", QUANTILE_K).alias("_quantiles"),
+        )
+        .select(
+            "dataset_id", "column_name", "ordinal_position", "logical_type", "n_rows", "null_count",
+            F.when(F.col("n_rows") > F.col("null_count"), F.hll_sketch_estimate("_distinct")).otherwise(F.lit(0)).alias("distinct_count"),
+            *[F.when(F.col(c) == 0, 0.0).otherwise(F.col(c)).alias(c) for c in ("low", "high")],
+            F.when(F.col("low").isNotNull(), F.kll_sketch_get_quantile_double("_quantiles", wanted)).alias("quantiles"),
+        )
+    )
