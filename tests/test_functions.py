@@ -3,6 +3,7 @@
 import math
 import statistics
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from massloom.functions import cv, names, numbers, peaks, sql_text
@@ -109,6 +110,15 @@ def test_histogram_against_brute_force(values):
         assert slots == _brute_histogram(scan), scan
 
 
+def test_slot_counts_of_odd_batches():
+    scans = [[math.nan, None, math.inf], [1e12], None, [], [None], [9.0 - 1e-9, 9.0]]
+    whole = pa.array(scans, pa.list_(pa.float64()))
+    want = [[0] * 101 + [2], [0] * 101 + [1], [0] * 102, [0] * 102, [0] * 102, _brute_histogram([9.0 - 1e-9, 9.0])]
+    assert peaks.slot_counts(whole).to_pylist() == want
+    assert peaks.slot_counts(whole.slice(1, 4)).to_pylist() == want[1:5]
+    assert peaks.slot_counts(whole.slice(0, 0)).to_pylist() == []
+
+
 def test_quantiles_against_brute_force(values):
     scans = [[], [4.0], [1.0, 3.0], [float((k * 37) % 101) for k in range(64)]]
     got = values(scans, "array<double>", lambda x: peaks.quantile_profile(F.sort_array(x)))
