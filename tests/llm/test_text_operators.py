@@ -716,6 +716,78 @@ def test_look_alikes_do_not_hide_a_license(number):
     assert [n.license for n in got] == ["proprietary", license] and len(got[1].missing) == edits
 
 
+def _fewest_edits(template, words):
+    """Edits, first and last word of the run of ``words`` nearest to the template, the shortest of equals, cell by cell."""
+    row = [(0, -at) for at in range(len(words) + 1)]
+    for wanted in template:
+        new = [(row[0][0] + 1, row[0][1])]
+        for at, word in enumerate(words, 1):
+            step = (row[at - 1][0] + (word != wanted), row[at - 1][1])
+            new.append(min(step, (row[at][0] + 1, row[at][1]), (new[-1][0] + 1, new[-1][1])))
+        row = new
+    last = min(range(len(words) + 1), key=lambda at: (row[at], at))
+    return row[last][0], -row[last][1], last
+
+
+def _notices_by_brute_force(text):
+    """Every template against the whole text, without cues, regions, ranking or a bound on words."""
+    found = []
+    while True:
+        words, spans = license_scan._words(text)
+        best = None
+        for name, template in license_scan.TEMPLATES:
+            wanted = license_scan._words(template)[0]
+            edits, first, last = _fewest_edits(wanted, words)
+            if first < last and edits <= int(len(wanted) * license_scan.DIFFERENT):
+                unlike = sum(license_scan.differences(wanted, words[first:last]), [])
+                if not any(license_scan._NAMING.search(w) for w in unlike):
+                    best = min(best or (1,), (edits - len(wanted), edits, spans[first][0], spans[last - 1][1], name))
+        if best is None:
+            return sorted((start, end, name) for _, _, start, end, name in found)
+        found.append(best)
+        text = text[: best[2]] + "\n" * (best[3] - best[2]) + text[best[3] :]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranked_notices_equal_all_templates_aligned(seed):
+    rng = np.random.default_rng(seed)
+    parts = []
+    for k in rng.choice(len(license_scan.TEMPLATES), 5, replace=False):
+        words = license_scan.TEMPLATES[k][1].split()
+        for at in rng.choice(len(words), len(words) // 25, replace=False):
+            words[at] = f"zq{at}x"
+        parts += [" ".join(words), " ".join(f"w{n}" for n in rng.integers(0, 99, 30))]
+    text = "\n".join(parts)
+    got = [(n.start, n.end, n.license) for n in license_scan.notices(text)]
+    assert got == _notices_by_brute_force(text) and got
+
+
+def test_license_identifiers_and_spellings():
+    named = {
+        "// SPDX-License-Identifier: GPL-2.0+": ["GPL-2.0-or-later"],
+        "# SPDX-License-Identifier: GPL-2.0-only": ["GPL-2.0-only"],
+        "/* SPDX-License-Identifier: (MIT OR Apache-2.0) */": ["MIT"],
+        "SPDX-License-Identifier: GPL-9.0": [],
+        "Licensed under the GPLv3.": ["GPL-3.0"],
+        "Licensed under the GPLv4.": [],
+        "Released under the MIT Licence.": ["MIT"],
+    }
+    assert {t: [n.license for n in license_scan.notices(t)] for t in named} == named
+
+
+def test_wrapped_and_long_notices():
+    """Comment marks and wide margins between the words, and borders of parts, do not hide a notice."""
+    texts = dict(license_scan.WHOLE_TEXTS)
+    for name in ("MIT", "BSD-3-Clause", "BSD-2-Clause"):
+        wide = "\n".join(f"{'*' * 40}{' ' * 60}{w}" for w in texts[name].split())
+        (notice,) = license_scan.notices(f"before\n{wide}\nbehind")
+        assert (notice.license, notice.missing, notice.added) == (name, [], [])
+    # The word before makes all of it one region; the whole text falls on the border of two parts.
+    for shift in range(2 * license_scan.REACH, 5 * license_scan.REACH, 97):
+        text = "copyright filler " * (shift // 2) + texts["BSD-3-Clause"] + " filler copyright" * 300
+        assert [n.license for n in license_scan.notices(text)] == ["BSD-3-Clause"], shift
+
+
 # --- languages
 
 
