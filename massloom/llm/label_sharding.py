@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from massloom.llm.shared import Scratch, whole_text
 from massloom.operators.ordering import number_rows, running_total
 
-#: Rounds at most; rounds in which full shards may be asked for, so that documents can change places.
+#: Rounds at most, a part of the method: labels that would still move then stay where they are, and sizes are even
+#: all the same. More rounds cut fewer edges. Rounds in which full shards may be asked for, so that documents can change places.
 ROUNDS, EXCHANGES = 12, 4
 #: Rows by which a shard may be larger than its share while labels move, as a part of the share and besides.
 SLACK, SLACK_ROWS = 0.02, 2

@@ -24,7 +24,8 @@ from massloom.llm.shared import hashed_sample, map_batches, whole_text
 BLOCK, DICTIONARY = 1024, 112_640
 #: Labelled rows per class that are learned from at most: half for dictionaries, half for calibration.
 ROWS = 6_000
-#: Blocks of one row that a dictionary learns from at most, spread over the whole text.
+#: Blocks of one labelled row that a dictionary learns from at most, spread evenly over its whole text. It bounds what
+#: is learned from, as ``ROWS`` does; scores are of whole texts.
 BLOCKS_OF_ROW = 4
 LEVEL = 3
 
@@ -44,11 +45,11 @@ def _blocks(text: str) -> list[bytes]:
 
 
 def _dictionary(samples: list[bytes]) -> tuple[bytes, bool]:
-    """A trained dictionary, or the samples themselves where they are too few to train one."""
+    """A trained dictionary, or the samples themselves where the trainer has too few: under 100, or under 40 kB."""
     size = min(DICTIONARY, sum(map(len, samples)) // 10)
     if len(samples) >= 100 and size >= 4096:
         return zstandard.train_dictionary(size, samples).as_bytes(), True
-    return b"".join(samples)[:DICTIONARY], False
+    return b"".join(samples), False
 
 
 _compressors: dict[int, list[zstandard.ZstdCompressor | None]] = {}
@@ -100,10 +101,11 @@ def calibrated(raw: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(weights[0]), float(weights[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, blocks_of_row: int = BLOCKS_OF_ROW) -> Model:
     """Learns from ``labels`` (doc_id, quality) and the texts they name.
 
-    At most ``rows`` labels of each class, chosen by a hash of doc_id; labels
+    At most ``rows`` labels of each class, chosen by a hash of doc_id, and at most
+    ``blocks_of_row`` blocks of each text that goes into a dictionary; labels
     with a null, of other values or without a document are not used. With no
     usable label every score is 0.5; with one class only, the scores lean to it.
     """
@@ -121,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
         out: list[tuple[int, int, int, bytes]] = []
         for doc_id, text, quality in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "quality")], strict=True):
             blocks = _blocks(text)
-            step = max(1, -(-len(blocks) // BLOCKS_OF_ROW))
+            step = max(1, -(-len(blocks) // blocks_of_row))
             out += [(quality, doc_id, at, blocks[at]) for at in range(0, len(blocks), step)]
         columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
         types = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
@@ -149,7 +151,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score (0 to 1, higher is better) and predicted (score >= 0.5) of every whole text; null counts as empty."""
+    """doc_id, score (0 to 1, higher is better) and predicted (score >= 0.5) of every whole text; null counts as empty.
+
+    An empty text scores what the calibration gives for no difference. Repeated
+    rows give repeated rows with one score.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         got = scores(model, batch.column("text").to_pylist())
@@ -163,7 +169,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model predicts to be good, with all their columns."""
+    """The rows of ``docs`` that the model predicts to be good, with all their columns.
+
+    Null and empty texts stay or go by the score of no difference; equal texts,
+    repeated rows among them, stay or go together.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(scores(model, batch.column("text").to_pylist()) >= 0.5))

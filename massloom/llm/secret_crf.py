@@ -341,7 +341,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     """Learns from at most ``sample`` documents, chosen by a hash of doc_id; None if no document holds a secret.
 
     All documents are looked through for secrets first, so the sample holds
-    documents with one however rare they are.
+    documents with one however rare they are. What is learned from is bounded by
+    document too: ``WINDOWS`` windows of ``WINDOW`` tokens. Scans are of whole texts.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 

@@ -183,7 +183,8 @@ def read_model(path: str) -> bytes:
 def encode(docs: DataFrame, model: bytes) -> DataFrame:
     """``docs`` with token_ids (array<int>, with begin and end) and decoded_text, as in ``digests``.
 
-    A null or empty text gives begin and end alone and decodes to nothing. A
+    A null or empty text gives begin and end alone and decodes to nothing.
+    Repeated rows give repeated rows. A
     column of ``docs`` that has one of the two names is replaced.
     """
     names = [c for c in docs.columns if c not in ("token_ids", "decoded_text")]
@@ -213,7 +214,8 @@ def digests(docs: DataFrame, model: bytes) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; ids and texts stay in the task.
 
     The same words as in ``encode``. The check of a batch has found each word's
-    decoded ids to be its text, so the decoded text is that of the words.
+    decoded ids to be its text, so the decoded text is that of the words. Null
+    counts as empty; repeated rows give repeated rows.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -788,6 +788,41 @@ def test_wrapped_and_long_notices():
         assert [n.license for n in license_scan.notices(text)] == ["BSD-3-Clause"], shift
 
 
+# --- quality, by hand
+
+
+def test_quality_scores_by_hand(spark, sf, docs, rows, odd):
+    """Every score again, with a new compressor for each block and no state shared."""
+    import zstandard
+
+    model = queries.quality_model(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def size(block, content, trained):
+        kind = zstandard.DICT_TYPE_AUTO if trained else zstandard.DICT_TYPE_RAWCONTENT
+        given = zstandard.ZstdCompressionDict(content, dict_type=kind)
+        options = {"level": quality_zstd.LEVEL, "write_content_size": False, "write_dict_id": False}
+        given.precompute_compress(level=quality_zstd.LEVEL)
+        return len(zstandard.ZstdCompressor(dict_data=given, **options).compress(block))
+
+    def by_hand(text):
+        data = (text or "").encode()
+        blocks = [data[at : at + 1024] for at in range(0, len(data), 1024)]
+        bad, good = (sum(size(b, *d) for b in blocks) for d in model.dictionaries)
+        raw = (bad - good) / (bad + good) if blocks else 0.0
+        return 1 / (1 + np.exp(-(model.slope * raw + model.shift)))
+
+    chosen = rows[:: max(1, len(rows) // 150)]
+    got = {g.doc_id: g for g in quality_zstd.score(docs, model).collect()}
+    assert len(got) == len(rows)
+    for r in chosen:
+        assert abs(got[r.doc_id].score - by_hand(r.text)) < 1e-9
+        assert got[r.doc_id].predicted == (got[r.doc_id].score >= 0.5)
+    scored = sorted((g.doc_id or 0, round(g.score, 9)) for g in quality_zstd.score(odd, model).collect())
+    assert scored == sorted((r.doc_id or 0, round(float(by_hand(r.text)), 9)) for r in odd.collect())
+    kept = collections.Counter(r.text for r in quality_zstd.keep_good(odd, model).collect())
+    assert kept == collections.Counter(r.text for r in odd.collect() if by_hand(r.text) >= 0.5)
+
+
 # --- languages
 
 
