@@ -51,9 +51,9 @@ def op2_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document."""
+    """Secrets in every document, assignments as whole matches."""
     docs = table(spark, sf_dir, "documents")
-    return secret_crf.scan(docs, secret_crf.fit(docs))
+    return secret_crf.scan(docs, secret_crf.fit(docs), whole=True)
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality_zstd.Model:

@@ -66,16 +66,18 @@ _GAPS = re.compile(r"[\x20\x09-\x0D]")
 _LENGTHS = np.array([4, 8, 12, 16, 20, 32, 48])
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
+def base_spans(text: str, whole: bool = False) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end) of the secrets the patterns find, in order.
 
     Of an assignment the secret is its value, group 2; so a hexadecimal value
-    is found as two kinds with one start.
+    is found as two kinds with one start. With ``whole`` an assignment is given
+    as its whole match, from the name on.
     """
     found = []
+    part = 0 if whole else 2
     low = text.lower()
     if any(w in low for w in ASSIGN_WORDS):
-        found += [(m.start(2), 0, m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
+        found += [(m.start(part), 0, m.end(part)) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -382,12 +384,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     return field
 
 
-def scan(docs: DataFrame, field: Field | None) -> DataFrame:
+def scan(docs: DataFrame, field: Field | None, whole: bool = False) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_crf, base_sha256, spans for every row of ``docs``.
 
     A span is kind:start:end in code points, end exclusive, ordered by start
-    and then kind. A span the field adds may reach beyond one of the
-    patterns; inside one it is left out.
+    and then kind; that of an assignment is its value or, with ``whole``, the
+    whole match. A span the field adds may reach beyond one of the patterns;
+    inside one it is left out.
     A null text counts as empty and has none. Repeated rows give repeated rows.
     """
 
@@ -396,7 +399,7 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
         more = added_spans(field, texts) if field else [[] for _ in texts]
         out: list[list] = [[] for _ in range(6)]
         for text, added in zip(texts, more, strict=True):
-            base = base_spans(text)
+            base = base_spans(text, whole)
             new = [(s, 3, e) for s, e in added if not any(bs <= s and e <= be for bs, _, be in base)]
             named = [[f"{KINDS[k]}:{s}:{e}" for s, k, e in spans] for spans in (base, sorted(base + new))]
             for k in range(3):

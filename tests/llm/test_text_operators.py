@@ -447,6 +447,32 @@ def test_spans_beyond_those_of_the_patterns_stay(spark):
     assert (got[2].spans, got[2].n_crf) == ("hex:4:24", 0)
 
 
+def test_secret_query_gives_assignments_as_whole_matches(spark, sf, rows, tmp_path):
+    """The contract's spans are those of the matches; group 2 only has its least length there."""
+    texts = {
+        1: ('x password = "0123456789abcdef" y', (1, 0, 1), "assign:2:30,hex:14:30"),
+        2: ("\U0001f511 API_KEY:'AKIA" + "Q" * 14 + "'", (1, 1, 0), "assign:2:29,access:11:29"),
+        3: ("token=short token==abcdefghijk", (1, 0, 0), "assign:12:30"),
+        4: (None, (0, 0, 0), ""),
+    }
+    frame = [(k, t) for k, (t, _, _) in texts.items()]
+    spark.createDataFrame(frame, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op3_secret_scan(spark, str(tmp_path)).collect():
+        _, counts, named = texts[r.doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex) == counts
+        assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+        assert set(named.split(",")) - {""} <= set(r.spans.split(","))
+    # On the tables: the patterns as the contract writes them.
+    assign = r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    by_id = {r.doc_id: r.text or "" for r in rows}
+    for r in queries.op3_secret_scan(spark, sf).collect():
+        text = by_id[r.doc_id]
+        spans = [(*m.span(), 0) for m in re.finditer(assign, text) if len(m[2]) >= 12]
+        spans += [(s, e, k) for s, k, e in _base(text) if k]
+        named = ",".join(f"{secret_crf.KINDS[k]}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], x[2])))
+        assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+
+
 # --- quality
 
 
