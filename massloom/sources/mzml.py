@@ -150,7 +150,7 @@ def read_spectra(
     """The ``spectra`` table of mzML files, plain or gzipped.
 
     ``basename`` replaces the run name taken from the file name. A file is read
-    by a task for each ``stretch`` bytes, a gzipped one by one task; write the
+    in stretches of ``stretch`` bytes by many tasks, a gzipped one by one; write the
     result as Parquet and share it between all jobs on spectra. A spectrum that
     is broken or a file that is cut off fails the job; with ``on_fault`` "skip"
     it is left to ``read_faults``.

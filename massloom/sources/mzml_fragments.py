@@ -21,7 +21,7 @@ from massloom.sources.files import list_files, open_file
 
 NAME = "mzml_fragments"
 SCHEMA = "path string, start long, fault string, fragment string"
-#: Bytes of a file that one task reads.
+#: Bytes of a file that are read in one go, and that a task takes at most where they come in shorter stretches.
 STRETCH = 64 << 20
 BLOCK = 1 << 20
 
@@ -42,6 +42,13 @@ class Stretch(InputPartition):
     last: bool
 
 
+@dataclass
+class Task(InputPartition):
+    """Stretches, one after the other, that one task reads."""
+
+    parts: list[Stretch]
+
+
 def stretch_fragments(part: Stretch) -> Iterator[tuple[str, int, str | None, str]]:
     """The spectra that start in a stretch; they may end behind it."""
     packed = part.path.endswith(".gz")
@@ -107,24 +114,32 @@ def stretch_fragments(part: Stretch) -> Iterator[tuple[str, int, str | None, str
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files: list[tuple[str, int]], stretch: int) -> None:
-        self.files, self.stretch = files, stretch
+    def __init__(self, files: list[tuple[str, int]], stretch: int, tasks: int) -> None:
+        self.files, self.stretch, self.tasks = files, stretch, tasks
 
-    def partitions(self) -> list[Stretch]:
-        out = []
+    def partitions(self) -> list[Task]:
+        # Starting a task costs more than a short stretch; there are to be enough of them for all cores.
+        share = min(STRETCH, sum(length for _, length in self.files) // self.tasks)
+        out, held = [], share
         for path, length in self.files:
             size = max(length, 1) if path.endswith(".gz") else self.stretch
             starts = range(0, max(length, 1), size)
-            out += [Stretch(path, start, start + size, start == starts[-1]) for start in starts]
+            for start in starts:
+                part, own = Stretch(path, start, start + size, start == starts[-1]), min(size, max(length, 1) - start)
+                if held + own > share:
+                    out.append(Task([]))
+                    held = 0
+                out[-1].parts.append(part)
+                held += own
         return out
 
-    def read(self, partition: Stretch | None) -> Iterator[tuple]:
-        if partition is not None:
-            yield from stretch_fragments(partition)
+    def read(self, partition: Task | None) -> Iterator[tuple]:
+        for part in partition.parts if partition is not None else ():
+            yield from stretch_fragments(part)
 
 
 class MzmlFragments(DataSource):
-    """Option ``files``: JSON list of (path, length); ``stretch``: bytes for each task."""
+    """Option ``files``: JSON list of (path, length); ``stretch``: bytes read in one go; ``tasks``: no fewer, if there are so many stretches."""
 
     @classmethod
     def name(cls) -> str:
@@ -134,7 +149,7 @@ class MzmlFragments(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader([tuple(f) for f in json.loads(self.options["files"])], int(self.options.get("stretch", STRETCH)))
+        return _Reader([tuple(f) for f in json.loads(self.options["files"])], int(self.options.get("stretch", STRETCH)), int(self.options.get("tasks", 1 << 30)))
 
 
 def read_fragments(spark: SparkSession, path: str | list[str], stretch: int = STRETCH) -> DataFrame:
@@ -143,4 +158,5 @@ def read_fragments(spark: SparkSession, path: str | list[str], stretch: int = ST
     files = [(f["path"], f["length"]) for f in list_files(spark, path).select("path", "length").collect()]
     if not files:
         return spark.createDataFrame([], SCHEMA)
-    return spark.read.format(NAME).option("files", json.dumps(files)).option("stretch", str(stretch)).load()
+    tasks = 8 * spark.sparkContext.defaultParallelism
+    return spark.read.format(NAME).options(files=json.dumps(files), stretch=str(stretch), tasks=str(tasks)).load()
