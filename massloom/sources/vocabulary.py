@@ -56,11 +56,13 @@ def read_terms(spark: SparkSession, path: str) -> DataFrame:
 def ancestors(terms: DataFrame) -> DataFrame:
     """Closure of ``is_a``: accession, ancestor, distance (the fewest steps, from 1).
 
-    Known ways are joined with themselves, so that their length doubles with each
-    round and the rounds number as the logarithm of the depth. Of several ways to
-    one ancestor the shortest is kept before the next round: their number never
-    matters, and a vocabulary that runs in a circle ends too (its terms are their
-    own ancestors). Parents without a stanza are ancestors as well.
+    Each round makes the ways up to twice as long as those known: the shortest way
+    to an ancestor further off passes a term that is exactly ``reach`` steps away,
+    so only the ways of that length are joined with all that are known. The rounds
+    number as the logarithm of the depth, and each way is made as often as there
+    are terms at that place. Of several ways to one ancestor the shortest is kept;
+    a vocabulary that runs in a circle ends too (its terms are their own
+    ancestors). Parents without a stanza are ancestors as well.
     """
     known = durable(
         terms.select("accession", F.explode_outer("is_a").alias("ancestor"))
@@ -69,24 +71,24 @@ def ancestors(terms: DataFrame) -> DataFrame:
         .withColumn("distance", F.lit(1)),
         "ancestors",
     )
-    before = None
+    reach = 1
     while True:
-        size = known.agg(F.count("*"), F.sum("distance")).first()
-        if size == before:
-            return known
-        before = size
         upper = known.select(
             F.col("accession").alias("ancestor"), F.col("ancestor").alias("_above"), F.col("distance").alias("_more")
         )
-        longer = known.join(upper, "ancestor").select(
-            "accession", F.col("_above").alias("ancestor"), (F.col("distance") + F.col("_more")).alias("distance")
-        )
-        joined = durable(
-            known.unionByName(longer).groupBy("accession", "ancestor").agg(F.min("distance").alias("distance")),
-            "ancestors",
+        longer = (
+            known.where(F.col("distance") == reach)
+            .join(upper, "ancestor")
+            .groupBy("accession", F.col("_above").alias("ancestor"))
+            .agg((F.min("_more") + F.lit(reach)).alias("distance"))
         )
-        forget(known)
-        known = joined
+        # A shorter way is known already.
+        further = durable(longer.join(known, ["accession", "ancestor"], "left_anti"), "ancestors")
+        if further.isEmpty():
+            forget(further)
+            return known
+        known = known.unionByName(further)
+        reach *= 2
 
 
 def under(rows: DataFrame, closure: DataFrame, ancestor: str, accession: str = "accession") -> DataFrame:
