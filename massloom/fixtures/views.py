@@ -122,6 +122,8 @@ def replicates(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) ->
             for g, n in enumerate(["_order", "_part", "_line"], 1)
         ],
     )
+    if of is None:
+        samples = durable(samples, "samples")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")

@@ -36,6 +36,7 @@ def check_table(
 
     Rows are first counted per distinct content. That one shuffle serves the
     repeated-row check, and all others then run on distinct rows with weights.
+    Without ``whole_rows`` they are counted per key, and only keys are shuffled.
     With ``per`` the report has one set of lines for each value of that column,
     such as the input file; keys then need to be unique within it only.
     """
@@ -45,25 +46,42 @@ def check_table(
         return raw.sparkSession.createDataFrame(rows, REPORT_DDL)
 
     by = [per] if per else []
-    distinct = raw.select(*by, *contract.names).groupBy(*by, *contract.names).agg(F.count("*").alias("_n"))
-    weight = F.col("_n")
-    aggs: list[Column] = [F.sum(weight).alias("rows"), F.sum(weight - 1).alias("copies")]
+    rows = raw.select(*by, *contract.names)
+    if whole_rows:
+        rows = rows.groupBy(*by, *contract.names).agg(F.count("*").alias("_n"))
+    weight = F.col("_n") if whole_rows else F.lit(1)
     lines = [_line("no_rows", "*", (F.coalesce("rows", F.lit(0)) == 0).cast("int"))]
+    sums: dict[str, Column] = {"rows": weight}
+    leasts: dict[str, Column] = {}
     for field in contract.fields:
         value = F.col(field.name)
         if not field.nullable:
-            aggs.append(F.sum(F.when(value.isNull(), weight)).alias(f"null_{field.name}"))
+            sums[f"null_{field.name}"] = F.when(value.isNull(), weight)
             lines.append(_line("null", field.name, F.col(f"null_{field.name}")))
         if not field.nullable and isinstance(field.dataType, StringType):
-            aggs.append(F.sum(F.when(is_blank(value), weight)).alias(f"blank_{field.name}"))
+            sums[f"blank_{field.name}"] = F.when(is_blank(value), weight)
             lines.append(_line("blank", field.name, F.col(f"blank_{field.name}")))
         if not isinstance(field.dataType, StringType):
             failed = value.isNotNull() & value.try_cast(field.dataType).isNull()
-            aggs.append(F.sum(F.when(failed, weight)).alias(f"cast_{field.name}"))
-            aggs.append(F.min(F.when(failed, value.cast("string"))).alias(f"bad_{field.name}"))
+            sums[f"cast_{field.name}"] = F.when(failed, weight)
+            leasts[f"bad_{field.name}"] = F.when(failed, value.cast("string"))
             lines.append(_line("cast", field.name, F.col(f"cast_{field.name}"), F.col(f"bad_{field.name}")))
     if whole_rows:
+        sums["copies"] = weight - 1
         lines.append(_line("duplicate_row", "*", F.col("copies")))
+        distinct = rows
+    else:
+        distinct = rows.groupBy(*by, key).agg(
+            F.count("*").alias("_n"), *[F.sum(c).alias(k) for k, c in sums.items()], *[F.min(c).alias(k) for k, c in leasts.items()]
+        )
+        sums, leasts = ({k: F.col(k) for k in found} for found in (sums, leasts))
+    aggs = [F.sum(c).alias(k) for k, c in sums.items()] + [F.min(c).alias(k) for k, c in leasts.items()]
+    if not whole_rows:
+        # In the same aggregate, so that the rows are read once.
+        again = F.when(F.col("_n") > 1, F.col(key))
+        lines.append(_line("duplicate_key", key, F.col("n"), F.col("least")))
+        found = distinct.groupBy(*by).agg(*aggs, F.count(again).alias("n"), F.min(again).alias("least")).select(*by, F.inline(F.array(*lines)))
+        return found.where((F.col("check") != "duplicate_key") | (F.col("n_bad") > 0)) if per else found
     by_row = distinct.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*lines)))
 
     # Null keys are left to count() rather than to a filter, which would be
@@ -106,7 +124,7 @@ def file_faults(rows: DataFrame, heads: DataFrame, source: str) -> DataFrame:
     absent = heads.select(source, F.explode("missing").alias("column")).select(
         source, F.lit("missing_column").alias("check"), "column", F.lit(1).cast("bigint").alias("n_bad"), F.lit(None).cast("string").alias("sample")
     )
-    bare = heads.where(F.size("missing") == 0).join(rows.select(source), source, "left_anti")
+    bare = heads.where(F.size("missing") == 0).join(rows.select(source).distinct(), source, "left_anti")
     return absent.unionByName(
         bare.select(
             source, F.lit("no_rows").alias("check"), F.lit("*").alias("column"), F.lit(1).cast("bigint").alias("n_bad"), F.lit(None).cast("string").alias("sample")
