@@ -114,9 +114,8 @@ def replicate_id_list(spark, sf):
 
 def _worklist(spark, sf):
     files = v.stored_files(spark, sf)
-    return replicates.worklist(
-        v.replicates(spark, sf, files), files, v.repositories(spark, sf), v.listing(spark, sf)
-    )
+    named = durable(v.replicates(spark, sf, files), "annotations")
+    return replicates.worklist(named, files, v.repositories(spark, sf), v.listing(spark, sf))
 
 
 def sample_worklist(spark, sf):

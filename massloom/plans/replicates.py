@@ -9,7 +9,7 @@ from massloom.contracts import REPLICATES
 from massloom.functions import names
 from massloom.operators import packing, quality
 from massloom.operators.inventory import unique_listing
-from massloom.session import durable
+from massloom.session import durable, forget, passing_shuffles
 from massloom.sinks.tables import split_label
 from massloom.sources.tables import read_by_source, sized_samples
 
@@ -122,7 +122,8 @@ def worklist(
     """
     if on_missing == "fail":
         faults = worklist_faults(replicates, files, repositories)
-        first = faults.agg(F.count("*").alias("n"), F.min(F.struct("lookup", "key", "n_rows")).alias("of")).first()
+        with passing_shuffles(replicates.sparkSession):
+            first = faults.agg(F.count("*").alias("n"), F.min(F.struct("lookup", "key", "n_rows")).alias("of")).first()
         if first["n"]:
             of = first["of"]
             raise quality.QualityError(
@@ -143,18 +144,24 @@ def worklist(
     folder = F.concat("root_path", F.nullif(F.regexp_extract(relative, r"(?i)^(.*?\.d)/", 1), F.lit("")))
     without_scan = F.expr("left(path, length(path) - 5)")
     scan = F.endswith(F.col("path"), F.lit(".scan")) & F.endswith(F.lower(without_scan), F.lit(".wiff"))
+    # A path begins with its sample's, so only the rest of it goes along; whole where a root lists what is not below it.
+    begins = F.startswith(F.col("path"), F.col("sample_path"))
+    rest = F.substring(F.col("path"), F.length("sample_path") + 1, F.length("path"))
     parts = (
         unique_listing(listing)
         .where(~F.col("is_dir"))
+        .withColumn("sample_path", F.coalesce(folder, F.when(scan, without_scan), F.col("path")))
         .select(
             "repository_id",
-            F.coalesce(folder, F.when(scan, without_scan), F.col("path")).alias("sample_path"),
-            F.col("path").alias("remote_path"),
+            "sample_path",
+            F.when(begins, rest).alias("_rest"),
+            F.when(~begins, F.col("path")).alias("_whole"),
             "size_bytes",
             F.when(folder.isNotNull(), "in_folder").when(scan, "scan").otherwise("whole").alias("kind"),
         )
     )
     name = names.output_name(F.col("id"), F.col("sample_path"))
+    found = F.coalesce("_whole", F.concat("sample_path", "_rest"))
     inside = F.substring(F.col("remote_path"), F.length("sample_path") + 1, F.length("remote_path"))
     output = (
         F.when(F.col("kind") == "in_folder", F.concat(F.col("id"), F.lit(".d"), inside))
@@ -163,6 +170,7 @@ def worklist(
     )
     return (
         samples.join(parts, ["repository_id", "sample_path"], "left")
+        .withColumn("remote_path", found)
         .join(sites, "repository_id", "left")
         .select(
             F.col("id").alias("sample_id"),
