@@ -177,7 +177,10 @@ def incremental_new_files(spark, sf):
 
 def _splits(spark, sf, mode="balanced", **how):
     files = v.stored_files(spark, sf)
-    return replicates.batch_splits(v.replicates(spark, sf, files), files, mode=mode, **how)
+    packed = replicates.batch_splits(v.replicates(spark, sf, files), files, mode=mode, **how)
+    # The sizes have been looked up and stored.
+    forget(files)
+    return packed
 
 
 def batch_splits(spark, sf):

@@ -48,7 +48,8 @@ def size_faults(replicates: DataFrame, files: DataFrame) -> DataFrame:
 def with_sizes(replicates: DataFrame, files: DataFrame, on_missing: str = "fail") -> DataFrame:
     """Replicates with ``size_bytes``; strict unless ``on_missing`` is "skip".
 
-    The strict way looks the sizes up once: the result is written and checked.
+    The strict way looks the sizes up once: the result is written and checked;
+    ``forget`` removes it.
     """
     if on_missing != "fail":
         return replicates.join(sized_samples(files), "id")
@@ -58,7 +59,9 @@ def with_sizes(replicates: DataFrame, files: DataFrame, on_missing: str = "fail"
     told = faults.first()
     if told["n"]:
         raise quality.QualityError(f"{told['n']} replicates without one sized file, e.g. {told['example']}")
-    return sized.drop("_files")
+    kept = sized.drop("_files")
+    kept._scratch_path = sized._scratch_path
+    return kept
 
 
 def batch_splits(
@@ -81,6 +84,9 @@ def batch_splits(
         packed = packing.assign_splits(sized, accession, target_bytes, stretch)
     else:
         packed = packing.fill_splits(sized, accession, target_bytes)
+    if on_missing == "fail":
+        # Both ways have stored the rows in their own order by now.
+        forget(sized)
     return packed.withColumn("split", split_label(accession))
 
 
